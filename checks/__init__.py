@@ -4,12 +4,12 @@ from __future__ import annotations
 
 
 def all_queries():
-    from checks import models
+    from checks import models, operations
 
-    return {**models.QUERIES}
+    return {**models.QUERIES, **operations.QUERIES}
 
 
 def all_oracles():
-    from checks import models
+    from checks import models, operations
 
-    return {**models.ORACLE}
+    return {**models.ORACLE, **operations.ORACLE}

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 
 def all_queries():
-    from checks import models, operations
+    from checks import models, operations, streams
 
-    return {**models.QUERIES, **operations.QUERIES}
+    return {**models.QUERIES, **operations.QUERIES, **streams.QUERIES}
 
 
 def all_oracles():
-    from checks import models, operations
+    from checks import models, operations, streams
 
-    return {**models.ORACLE, **operations.ORACLE}
+    return {**models.ORACLE, **operations.ORACLE, **streams.ORACLE}

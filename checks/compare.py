@@ -14,8 +14,12 @@ from checks.mapping import TABLES
 from ledgerlake.session import build_session
 
 
+# Spark type names that DuckDB spells differently.
+NAMES = {"string": "varchar", "int": "integer", "timestamp_ntz": "timestamp"}
+
+
 def normal(value: object) -> str:
-    return "" if value is None else str(value)
+    return "<null>" if value is None else str(value)
 
 
 def rows_of(columns: list[str], rows: list[tuple]) -> list[tuple[str, ...]]:
@@ -37,11 +41,17 @@ def compare(spark, sf_dir: str, name: str, sql: str | None, query) -> tuple[bool
     want, names = rel.fetchall(), rel.columns
     if sorted(names) != sorted(df.columns):
         return False, f"columns differ: {sorted(set(names) ^ set(df.columns))}"
+    kinds = {c: str(k).lower() for c, k in zip(names, rel.types, strict=True)}
+    odd = {
+        f.name: (f.dataType.simpleString(), kinds[f.name])
+        for f in df.schema.fields
+        if NAMES.get(f.dataType.simpleString(), f.dataType.simpleString()) != kinds[f.name]
+    }
     a, b = rows_of(df.columns, got), rows_of(list(names), want)
     if a != b:
         diff = [(x, y) for x, y in zip(a, b, strict=False) if x != y][:2]
         return False, f"rows {len(a)} vs {len(b)}\n   {sorted(names)}\n   " + "\n   ".join(f"{x}\n   {y}" for x, y in diff)
-    return True, f"rows={len(a)} {took:.2f}s"
+    return True, f"rows={len(a)} {took:.2f}s" + (f" types: {odd}" if odd else "")
 
 
 def main() -> int:

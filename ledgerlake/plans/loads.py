@@ -104,7 +104,7 @@ def load_entity(
     """Merge landed items (JSON text in ``item``) into the raw table and move the watermark.
 
     ``items`` may also carry ``position`` (arrival order within the batch) and, for detail entities,
-    the parent's key and ``parent_changed_at``. Returns the row count and the rejected items.
+    the parent's key under the child's column name and ``parent_changed_at``. Returns the row count and the rejected items.
     """
     entity = ENTITIES[name]
     table = ensure_raw(spark, tenant, entity, root, buckets)
@@ -113,8 +113,6 @@ def load_entity(
 
     keep = tuple(c for c in items.columns if c != "item")
     rows, rejected = split_valid(parse_entity(items, entity, now, keep=keep), mode)
-    for column in (c for c in keep if c in rows.columns and c in entity.columns):
-        rows = rows.withColumn(column, F.coalesce(rows[column], F.col(column)))
     if entity.options.get("numbers") and "position" in keep:
         given = [F.get_json_object("raw", f"$.{n}").alias(n) for n in entity.options["numbers"]]
         rows = rows.withColumns({f"_n{i}": c for i, c in enumerate(given)})

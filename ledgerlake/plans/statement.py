@@ -167,7 +167,7 @@ def dre_estrutura(
     display = Window.partitionBy(*by).orderBy("ord_n1", "ord_n2", "ord_n3", "nivel", "ord_n4")
     return every.select(
         *by,
-        F.row_number().over(display).alias("seq"),
+        F.row_number().over(display).cast("bigint").alias("seq"),
         *NODE_KEYS,
         "nivel",
         "tipo",

@@ -481,7 +481,11 @@ _ENTITIES = [
         parents=("notas_fiscais",),
         parent_key="chave_acesso",
         newest_first=True,
-        options={"generated_id": "invoice_item", "numbers": ("numero_item", "numero")},
+        options={
+            "generated_id": "invoice_item",
+            "numbers": ("numero_item", "numero"),
+            "parent_wins": ("nota_fiscal_id",),
+        },
     ),
     Entity(
         "notas_servico",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import blank_to_null, drop_falsy_json, enum_name, first_id, uuid_text, zero_to_null
 from ledgerlake.functions.keys import ZERO_UUID
-from ledgerlake.sources.entities import Entity, Field
+from ledgerlake.sources.entities import KINDS, Entity, Field
 
 
 def _given(f: Field, parsed: str) -> Column:
@@ -38,7 +38,9 @@ def parse_entity(
 ) -> DataFrame:
     """Typed columns of the entity, the item itself as ``raw``, and ``_problem`` for unusable items.
 
-    Fields the declaration does not know stay in ``raw``. A problem is text that is not JSON of the
+    A column of ``df`` named like a field is the parent's value: it fills the field where the item has
+    none, or replaces it if the entity says the parent wins. Fields the declaration does not know stay
+    in ``raw``. A problem is text that is not JSON of the
     declared types, a missing required field, or a malformed id or time.
     """
     schema = f"{entity.parsed_schema}, _broken string"
@@ -49,6 +51,10 @@ def parse_entity(
     columns: dict[str, Column] = {}
     for f in entity.fields:
         value = _given(f, "_p")
+        if f.name in df.columns:
+            parent = F.col(f.name).cast(KINDS[f.kind][0])
+            wins = f.name in entity.options.get("parent_wins", ())
+            value = F.coalesce(parent, value) if wins else F.coalesce(value, parent)
         typed = _typed(f, value)
         columns[f.name] = typed
         if f.kind in ("uuid", "ts", "date"):

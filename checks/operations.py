@@ -201,7 +201,7 @@ coalesce(case when event_id % 5 = 0 then 'own' end, case when event_id % 7 = 0 t
          {duck_uuid5("concat('ev|', event_id)")}) as id from events""",
 )
 def q_uuid5_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "events").select(
+    return load(spark, sf_dir, "events", spread=True).select(
         "event_id",
         uuid5_key(F.lit("saldo"), "user_id", F.col("ts").cast("date"), F.lit("é")).alias("key"),
         first_id(
@@ -219,7 +219,7 @@ def q_uuid5_key(spark: SparkSession, sf_dir: str) -> DataFrame:
        {duck_uuid5("concat('nf_item|', l_orderkey, '|', l_linenumber)")} as invoice_item from lineitem""",
 )
 def q_generated_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = load(spark, sf_dir, "lineitem").selectExpr(
+    rows = load(spark, sf_dir, "lineitem", spread=True).selectExpr(
         "l_orderkey",
         "l_linenumber",
         "case when l_partkey % 4 = 0 then 'given' else '' end as own",
@@ -414,7 +414,7 @@ SCAN_JSON = (
 from events where event_id % 8 < 5""",
 )
 def q_scan_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.scan_ids(load(spark, sf_dir, "events").selectExpr(f"{SCAN_JSON} as raw"), "raw")
+    return changes.scan_ids(load(spark, sf_dir, "events", spread=True).selectExpr(f"{SCAN_JSON} as raw"), "raw")
 
 
 @check(
@@ -465,7 +465,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     grouped = (
-        load(spark, sf_dir, "orders")
+        load(spark, sf_dir, "orders", spread=True)
         .select(F.floor(F.col("o_orderkey") / 100).cast("bigint").alias("page"), "o_orderkey", item.alias("item"))
         .groupBy("page")
         .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "item"))).alias("rows"))
@@ -531,7 +531,7 @@ ITEM_JSON = (
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = load(spark, sf_dir, "orders").selectExpr(f"{ITEM_JSON} as item", "o_orderkey as position")
+    items = load(spark, sf_dir, "orders", spread=True).selectExpr(f"{ITEM_JSON} as item", "o_orderkey as position")
     return parse_entity(items, ENTITIES["vendas"], AS_OF, keep=("position",))
 
 
@@ -790,7 +790,7 @@ def q_text_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
 from events""",
 )
 def q_json_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events").selectExpr(
+    events = load(spark, sf_dir, "events", spread=True).selectExpr(
         "*",
         "case when event_id % 2 = 0 then ' {\"nome\":\"APROVADO\"}' else 'X' end as enum",
         "case event_id % 6 when 0 then '{}' when 1 then ' [ ] ' when 2 then 'null' when 3 then null when 4 then '{\"a\":1}' else '[1]' end as bag",

@@ -27,26 +27,28 @@ def _check_digit(number: Column, weights: list[int]) -> Column:
     return (F.lit(11) - total % 11) % 11 % 10
 
 
-def _valid(c: ColumnOrName, weights: tuple[list[int], list[int]]) -> Column:
-    number = digits_of(c)
+def _valid(number: Column, weights: tuple[list[int], list[int]]) -> Column:
     body = len(weights[0])
     tail = F.concat(
         _check_digit(number, weights[0]).cast("string"), _check_digit(number, weights[1]).cast("string")
     )
     shape = (F.length(number) == body + 2) & ~number.rlike(r"^(\d)\1*$")
-    return F.when(as_column(c).isNull(), F.lit(None).cast("boolean")).otherwise(
-        F.when(shape, F.substring(number, body + 1, 2) == tail).otherwise(F.lit(False))
+    return F.when(shape, F.substring(number, body + 1, 2) == tail).otherwise(
+        F.when(number.isNotNull(), F.lit(False))
     )
 
 
-def cpf_is_valid(c: ColumnOrName) -> Column:
-    """Person number: 11 digits with two check digits. NULL stays NULL."""
-    return _valid(c, CPF_WEIGHTS)
+def cpf_is_valid(c: ColumnOrName, clean: bool = False) -> Column:
+    """Person number: 11 digits with two check digits. NULL stays NULL.
+
+    Pass ``clean=True`` for a column that holds digits only; the expression is much smaller then.
+    """
+    return _valid(as_column(c) if clean else digits_of(c), CPF_WEIGHTS)
 
 
-def cnpj_is_valid(c: ColumnOrName) -> Column:
+def cnpj_is_valid(c: ColumnOrName, clean: bool = False) -> Column:
     """Company number: 14 digits with two check digits. NULL stays NULL."""
-    return _valid(c, CNPJ_WEIGHTS)
+    return _valid(as_column(c) if clean else digits_of(c), CNPJ_WEIGHTS)
 
 
 def normalize_cep(c: ColumnOrName) -> Column:

@@ -1,8 +1,9 @@
 """Keyed merges of a batch into a table, as plain DataFrame joins.
 
 Every merge is "keep the target rows the batch does not replace, then add the batch". The keep step is
-a left-anti join, which Spark turns into a broadcast join when the batch's measured size is below its
-broadcast limit and into a sort-merge join (with skew splitting on the target side) beyond it.
+a left-anti join against the batch's distinct keys (combined map-side, so a very frequent key is one
+row). Spark turns it into a broadcast join when the measured size of these keys is below its broadcast
+limit, so that the target is not shuffled, and into a sort-merge join beyond it.
 """
 
 from __future__ import annotations
@@ -57,9 +58,10 @@ def upsert(
     if loaded_at is not None:
         stamp = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at).cast("timestamp")
         rows = rows.withColumn("loaded_at", stamp)
-    kept = target.join(rows.select(*keys), keys, "left_anti")
+    named = batch.select(*keys).distinct()
+    kept = target.join(named, keys, "left_anti")
     if insert_only:
-        old = target.join(rows.select(*keys), keys, "left_semi").select(
+        old = target.join(named, keys, "left_semi").select(
             *keys, F.struct(*insert_only).alias("_old")
         )
         rows = rows.join(old, keys, "left").withColumns(
@@ -74,7 +76,7 @@ def upsert(
 def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace every target row whose key occurs in the batch; columns new to the batch are added."""
     keys = list(keys)
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    kept = target.join(batch.select(*keys).distinct(), keys, "left_anti")
     return align_append(kept, batch)
 
 

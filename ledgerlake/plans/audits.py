@@ -7,13 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.plans.dims import document_is_valid
+from ledgerlake.plans.dims import with_document_check
 from ledgerlake.plans.staging import stg_pessoa_enderecos
 
 
 def audit_documents(people: DataFrame) -> tuple[DataFrame, DataFrame]:
     """People with ``documento_is_valid``, and counts of valid, invalid, unjudged and absent by kind."""
-    judged = people.withColumn("documento_is_valid", document_is_valid())
+    judged = with_document_check(people)
     ok = F.col("documento_is_valid")
     present = F.col("documento").isNotNull()
     summary = judged.groupBy(F.coalesce("tipo_pessoa", F.lit("desconhecido")).alias("tipo_pessoa")).agg(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import any_of, cnpj_is_valid, cpf_is_valid, flag
+from ledgerlake.functions.documents import digits_of
 
 # Account kinds of the source system by nature.
 ACCOUNT_NATURE = {
@@ -164,16 +165,24 @@ def dim_contratos(stg: DataFrame, detail: DataFrame, as_of: datetime) -> DataFra
     )
 
 
-def document_is_valid(kind: str = "tipo_pessoa", document: str = "documento") -> Column:
-    """Check the number by the rule of the person kind; NULL where the kind is unknown."""
-    return F.when(F.col(kind) == "pj", cnpj_is_valid(document)).when(
-        F.col(kind) == "pf", cpf_is_valid(document)
+def with_document_check(people: DataFrame) -> DataFrame:
+    """Add ``documento_is_valid``, by the rule of the person kind; NULL where the kind is unknown.
+
+    The digits become a column first, so the check refers to them instead of repeating their extraction.
+    """
+    judged = F.when(F.col("tipo_pessoa") == "pj", cnpj_is_valid("_digits", clean=True)).when(
+        F.col("tipo_pessoa") == "pf", cpf_is_valid("_digits", clean=True)
+    )
+    return (
+        people.withColumn("_digits", digits_of("documento"))
+        .withColumn("documento_is_valid", judged)
+        .drop("_digits")
     )
 
 
 def dim_pessoas(stg: DataFrame, as_of: datetime) -> DataFrame:
     return _plain(
-        stg,
+        with_document_check(stg),
         as_of,
         "pessoa_id",
         "pessoa_uuid_legado",
@@ -192,7 +201,7 @@ def dim_pessoas(stg: DataFrame, as_of: datetime) -> DataFrame:
         _has("telefone", "has_phone"),
         _has("documento", "has_documento"),
         _has("pessoa_uuid_legado", "has_legado"),
-        document_is_valid().alias("documento_is_valid"),
+        "documento_is_valid",
     )
 
 

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.lines import invoice_item_id, line_number, opening_balance_id, sale_item_id
@@ -21,6 +21,7 @@ from ledgerlake.operators.watermark import (
     WATERMARK_KEYS,
     WATERMARK_SCHEMA,
     get_watermark,
+    in_window,
     incremental_slice,
     watermark_row,
     window_bounds,
@@ -74,19 +75,20 @@ def with_generated_ids(items: DataFrame, entity: Entity) -> DataFrame:
     return items
 
 
-def select_rows(rows: DataFrame, entity: Entity, now: datetime, mark: dict | None) -> DataFrame:
+def in_scope(entity: Entity, now: datetime, mark: dict | None) -> Column:
     """The rows a run takes: inside the entity's window and, with a cursor, changed since then."""
     since = datetime.fromisoformat(mark["value"]) if mark and mark.get("value") else None
+    taken: Column = F.lit(True)
     if entity.load == "window":
-        rows = rows.where(rolling_window(entity.date_column, entity.days, now.date()))
+        taken = rolling_window(entity.date_column, entity.days, now.date())
     elif entity.load == "chunks":
-        rows = rows.where(rolling_window(entity.date_column, entity.options["look_back"], now.date()))
+        taken = rolling_window(entity.date_column, entity.options["look_back"], now.date())
     elif entity.load == "changes":
         start, until = window_bounds(now, mark, entity.days)
-        return rows.where(F.col(entity.date_column).isNull() | F.col(entity.date_column).between(F.lit(start), F.lit(until)))
+        taken = F.col(entity.date_column).isNull() | in_window(entity.date_column, start, until)
     if since is not None and entity.load in ("incremental", "window") and entity.watermarked:
-        rows = rows.where(changed_since("data_alteracao", since))
-    return rows
+        taken = taken & changed_since("data_alteracao", since)
+    return F.coalesce(taken, F.lit(False))
 
 
 def load_entity(
@@ -100,7 +102,7 @@ def load_entity(
     mode: str = "quarantine",
     order: Iterable[str] = ("position",),
     buckets: int = 16,
-) -> tuple[int, DataFrame | None]:
+) -> tuple[int, DataFrame]:
     """Merge landed items (JSON text in ``item``) into the raw table and move the watermark.
 
     ``items`` may also carry ``position`` (arrival order within the batch) and, for detail entities,
@@ -112,14 +114,16 @@ def load_entity(
     mark = get_watermark(read(spark, state), tenant, SOURCE, name) if entity.watermarked else None
 
     keep = tuple(c for c in items.columns if c != "item")
-    rows, rejected = split_valid(parse_entity(items, entity, now, keep=keep), mode)
+    rows = parse_entity(items, entity, now, keep=keep)
+    if mode == "fail":
+        rows = split_valid(rows, mode)[0].withColumn("_problem", F.lit(None).cast("string"))
     if entity.options.get("numbers") and "position" in keep:
         given = [F.get_json_object("raw", f"$.{n}").alias(n) for n in entity.options["numbers"]]
         rows = rows.withColumns({f"_n{i}": c for i, c in enumerate(given)})
         rows = rows.withColumn(
             "numero_item", line_number(F.col("position"), *[f"_n{i}" for i in range(len(given))])
         )
-    rows = select_rows(with_generated_ids(rows, entity), entity, now, mark)
+    rows = with_generated_ids(rows, entity)
 
     has_changed = "data_alteracao" in rows.columns
     own = F.col("data_alteracao") if has_changed else F.lit(None).cast("timestamp")
@@ -127,8 +131,13 @@ def load_entity(
     seen = parent if entity.options.get("high_water") == "parent" else F.coalesce(own, parent)
     by = [c for c in order if c in rows.columns]
     extra = [c for c in by if c not in table_columns(entity)]
-    slim = rows.select(*[c for c in table_columns(entity) if c in rows.columns], *extra, seen.alias("_seen"))
-    batch, count, high = write_once(slim, name)
+    columns = [c for c in table_columns(entity) if c in rows.columns]
+    taken = F.col("_problem").isNull() & in_scope(entity, now, mark)
+    stored, count, high = write_once(
+        rows.select(*columns, *extra, "_problem", taken.alias("_taken"), seen.alias("_seen")), name
+    )
+    batch = stored.where("_taken").drop("_problem", "_taken")
+    rejected = stored.where(F.col("_problem").isNotNull()).drop("_taken")
 
     if entity.load == "children" and entity.parent_key:
         replace_children_table(spark, table, batch.drop(*extra), entity.parent_key)
@@ -151,13 +160,19 @@ def table_columns(entity: Entity) -> dict[str, str]:
 def write_once(rows: DataFrame, name: str) -> tuple[DataFrame, int, datetime | None]:
     """Parse a batch once: store it below the shared folder and take count and high water on the way.
 
-    The merge reads the batch several times; it reads these columns instead of parsing JSON again.
+    The merge and the list of rejected items read these columns instead of parsing JSON again.
     """
     spark = rows.sparkSession
     path = shared_dir(spark, f"batch-{name}")
-    observed, seen = counted(rows, path, F.max("_seen").alias("high"))
+    observed, seen = counted(
+        rows,
+        path,
+        F.count_if("_taken").alias("taken"),
+        F.max(F.when(F.col("_taken"), F.col("_seen"))).alias("high"),
+    )
     observed.drop("_seen").write.parquet(path)
-    return spark.read.schema(rows.drop("_seen").schema).parquet(path), seen.get["rows"], seen.get["high"]
+    stored = spark.read.schema(rows.drop("_seen").schema).parquet(path)
+    return stored, seen.get["taken"], seen.get["high"]
 
 
 def build_model(

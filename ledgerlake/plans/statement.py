@@ -12,7 +12,6 @@ from ledgerlake.functions.keys import ZERO_UUID
 
 # Fixed value: the label of leaves whose category has no known parent.
 NO_PARENT = "(Sem categoria pai)"
-NODE_KEYS = ("ord_n1", "ord_n2", "ord_n3", "ord_n4")
 
 
 def dre_valores(receivables: DataFrame, payables: DataFrame) -> DataFrame:
@@ -44,6 +43,43 @@ def dre_valores(receivables: DataFrame, payables: DataFrame) -> DataFrame:
     )
 
 
+NODE = (
+    "struct<nivel:int,tipo:string,ord_n2:int,ord_n4:int,descricao:string,codigo:string,categoria_id:string>"
+)
+
+
+def _node(level: int, kind: str | Column, n2: Column, n4: Column, *texts: Column) -> Column:
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    return F.struct(F.lit(level), kind, n2, n4, *texts).cast(NODE)
+
+
+def _own_nodes() -> Column:
+    """The nodes one root record spells out: itself, its subgroups and their categories."""
+    zero, none = F.lit(0), F.lit(None).cast("string")
+    head = F.array(
+        _node(
+            1,
+            F.when(F.col("indica_totalizador"), "totalizador").otherwise("grupo"),
+            zero,
+            zero,
+            F.col("descricao"),
+            F.col("codigo"),
+            none,
+        )
+    )
+
+    def subgroup(s: Column, i: Column) -> Column:
+        own = F.array(_node(2, "subgrupo", i + 1, zero, s["descricao"], s["codigo"], none))
+        leaves = F.transform(
+            s["categorias_financeiras"],
+            lambda c, j: _node(4, "categoria", i + 1, j + 1, c["nome"], none, c["id"]),
+        )
+        return F.concat(own, F.coalesce(leaves, F.array().cast(f"array<{NODE}>")))
+
+    below = F.when(~F.col("indica_totalizador"), F.flatten(F.transform("subitens", subgroup)))
+    return F.concat(head, F.coalesce(below, F.array().cast(f"array<{NODE}>")))
+
+
 def dre_estrutura(
     roots: DataFrame,
     categories: DataFrame,
@@ -53,125 +89,61 @@ def dre_estrutura(
     """Flatten the statement tree to ordered rows: group, subgroup, parent category, category.
 
     ``roots`` is the raw statement table with its nested ``subitens``; ``categories`` the category
-    dimension. ``by`` names the columns (a tenant, say) that separate independent trees: every window
-    is partitioned by them, and one tree is bounded by one chart of accounts (some hundred nodes).
-    Roots with an unknown totalizer flag take part in the numbering and nothing else. Parents are made
-    distinct before they are ranked, so a parent of many leaves is one row in its window.
-    ``collation`` orders parent names by a language's rules instead of by bytes.
+    dimension. ``by`` names the columns (a tenant, say) that separate independent trees. Roots with an
+    unknown totalizer flag take part in the numbering and nothing else. ``collation`` orders parent
+    names by a language's rules instead of by bytes.
+
+    Roots are unfolded in one pass. The ranking windows hold the categories of one subgroup, which came
+    in one array of one record; the numbering windows hold one tree, which is one chart of accounts.
     """
     by = list(by)
     last = Column.asc_nulls_last
     root_order = Window.partitionBy(*by).orderBy(
         *[last(F.col(c)) for c in ("posicao", "indica_totalizador", "descricao")]
     )
-    n1 = roots.select(
-        *by,
-        "descricao",
-        "codigo",
-        "indica_totalizador",
-        "subitens",
-        F.row_number().over(root_order).alias("ord_n1"),
+    own = (
+        roots.withColumn("ord_n1", F.row_number().over(root_order))
+        .where(F.col("indica_totalizador").isNotNull())
+        .select(*by, "ord_n1", F.inline(_own_nodes()))
+        .withColumn("categoria_id", uuid_text("categoria_id"))
     )
-    groups = n1.where(~F.col("indica_totalizador"))
-
-    subgroups = groups.select(*by, "ord_n1", F.posexplode("subitens").alias("pos", "s")).select(
-        *by, "ord_n1", (F.col("pos") + 1).alias("ord_n2"), "s"
-    )
-    leaves = subgroups.select(
-        *by, "ord_n1", "ord_n2", F.posexplode("s.categorias_financeiras").alias("pos", "cf")
-    ).select(
-        *by,
-        "ord_n1",
-        "ord_n2",
-        (F.col("pos") + 1).alias("ord_n4"),
-        uuid_text("cf.id").alias("categoria_id"),
-        F.col("cf.nome").alias("descricao"),
-    )
-
-    own = categories.select(*by, "categoria_id", "categoria_pai_id")
-    parent = categories.select(
+    leaf_of = categories.select(*by, "categoria_id", "categoria_pai_id")
+    parent_of = categories.select(
         *by, F.col("categoria_id").alias("categoria_pai_id"), F.col("categoria_nome").alias("pai_nome")
     )
     placed = (
-        leaves.join(own, [*by, "categoria_id"], "left")
-        .join(parent, [*by, "categoria_pai_id"], "left")
+        own.join(leaf_of, [*by, "categoria_id"], "left")
+        .join(parent_of, [*by, "categoria_pai_id"], "left")
         .withColumn("pai_key", F.coalesce("categoria_pai_id", F.lit(ZERO_UUID)))
         .withColumn("pai_nome", F.coalesce("pai_nome", F.lit(NO_PARENT)))
-        .drop("categoria_pai_id")
     )
 
     sort_name = F.collate("pai_nome", collation) if collation else F.col("pai_nome")
-    parent_order = Window.partitionBy(*by, "ord_n1", "ord_n2").orderBy(last(sort_name))
-    parents = (
-        placed.select(*by, "ord_n1", "ord_n2", "pai_key", "pai_nome")
-        .distinct()
-        .withColumn("ord_n3", F.dense_rank().over(parent_order))
+    subgroup = [*by, "ord_n1", "ord_n2", "nivel"]
+    is_leaf = F.col("nivel") == 4
+    rank = F.dense_rank().over(Window.partitionBy(*subgroup).orderBy(last(sort_name)))
+    nth = F.row_number().over(Window.partitionBy(*subgroup, "pai_key").orderBy("ord_n4"))
+    ranked = placed.select(
+        "*", F.when(is_leaf, rank).otherwise(0).alias("ord_n3"), (is_leaf & (nth == 1)).alias("_first")
     )
 
-    def nodes(df: DataFrame, level: int, kind: str, **given: Column) -> DataFrame:
-        zero = {key: F.lit(0) for key in NODE_KEYS}
-        none = {name: F.lit(None).cast("string") for name in ("descricao", "codigo", "categoria_id")}
-        values = {**zero, **none, **given}
-        return df.select(
-            *by,
-            *[values[key].alias(key) for key in NODE_KEYS],
-            F.lit(level).alias("nivel"),
-            F.lit(kind).alias("tipo"),
-            *[values[name].alias(name) for name in none],
-        )
-
-    def at(*names: str) -> dict[str, Column]:
-        return {name: F.col(name) for name in names}
-
-    every = (
-        nodes(groups, 1, "grupo", **at("ord_n1", "descricao", "codigo"))
-        .unionByName(
-            nodes(
-                n1.where("indica_totalizador"),
-                1,
-                "totalizador",
-                **at("ord_n1", "descricao", "codigo"),
-            )
-        )
-        .unionByName(
-            nodes(
-                subgroups,
-                2,
-                "subgrupo",
-                **at("ord_n1", "ord_n2"),
-                descricao=F.col("s.descricao"),
-                codigo=F.col("s.codigo"),
-            )
-        )
-        .unionByName(
-            nodes(
-                parents,
-                3,
-                "categoria_pai",
-                **at("ord_n1", "ord_n2", "ord_n3"),
-                descricao=F.col("pai_nome"),
-            )
-        )
-        .unionByName(
-            nodes(
-                placed.join(
-                    parents.select(*by, "ord_n1", "ord_n2", "pai_key", "ord_n3"),
-                    [*by, "ord_n1", "ord_n2", "pai_key"],
-                ),
-                4,
-                "categoria",
-                **at(*NODE_KEYS, "descricao", "categoria_id"),
-            )
-        )
+    # The first category of a parent also stands for the parent's own row.
+    shown = ("ord_n1", "ord_n2", "ord_n3", "ord_n4", "nivel", "tipo", "descricao", "codigo", "categoria_id")
+    none = F.lit(None).cast("string")
+    as_parent = {
+        "ord_n4": F.lit(0),
+        "nivel": F.lit(3),
+        "tipo": F.lit("categoria_pai"),
+        "descricao": F.col("pai_nome"),
+        "codigo": none,
+        "categoria_id": none,
+    }
+    itself = F.struct(*[F.col(c).alias(c) for c in shown])
+    parent = F.struct(*[as_parent.get(c, F.col(c)).alias(c) for c in shown])
+    every = ranked.select(
+        *by, F.inline(F.when(F.col("_first"), F.array(parent, itself)).otherwise(F.array(itself)))
     )
     display = Window.partitionBy(*by).orderBy("ord_n1", "ord_n2", "ord_n3", "nivel", "ord_n4")
     return every.select(
-        *by,
-        F.row_number().over(display).cast("bigint").alias("seq"),
-        *NODE_KEYS,
-        "nivel",
-        "tipo",
-        "descricao",
-        "codigo",
-        "categoria_id",
+        *by, F.row_number().over(display).cast("bigint").alias("seq"), *shown
     ).orderBy(*by, "seq")

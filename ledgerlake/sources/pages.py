@@ -50,7 +50,8 @@ def announced_total(fields: Column) -> Column:
 def open_pages(pages: DataFrame, shape: str = "page") -> DataFrame:
     """Add ``items`` (array of JSON texts) and ``announced`` to pages with a ``body``."""
     is_object = ~F.ltrim(F.col("body")).startswith("[")
-    parsed = pages.withColumn("_fields", F.when(is_object, _fields(F.col("body"))))
+    # The generator keeps the parsed fields a column of their own, so the page is parsed once.
+    parsed = pages.select("*", F.explode(F.array(F.when(is_object, _fields(F.col("body"))))).alias("_fields"))
     return parsed.select(
         *pages.columns,
         items_of(F.col("_fields"), F.col("body"), shape).alias("items"),
@@ -69,28 +70,31 @@ def reconcile_pages(
 ) -> DataFrame:
     """Per endpoint: items announced (by the first page that says so), received, distinct and missing.
 
-    Distinct keys are made distinct map-side first, so an endpoint with a third of all items is split
-    over its keys instead of being one group.
+    Pages are parsed once. Items are counted per endpoint and key first, so an endpoint with a third of
+    all items is spread over its keys; the second step sees one row per distinct key.
     """
-    opened = open_pages(pages)
-    totals = opened.groupBy(by).agg(
-        F.count(F.lit(1)).alias("pages"),
-        F.min_by("announced", F.when(F.col("announced").isNotNull(), F.col(page))).alias("expected"),
-        F.sum(F.size("items")).alias("received"),
+    said = F.when(F.col("announced").isNotNull(), F.col(page))
+    unfolded = open_pages(pages).select(
+        by, "announced", said.alias("_said"), F.posexplode_outer("items").alias("_pos", "item")
     )
-    distinct = (
-        opened.select(by, F.explode("items").alias("item"))
-        .select(by, F.get_json_object("item", key).alias("_key"))
-        .where(F.col("_key").isNotNull())
-        .distinct()
-        .groupBy(by)
-        .agg(F.count(F.lit(1)).alias("distinct_items"))
+    per_key = (
+        unfolded.withColumn("_key", F.get_json_object("item", key))
+        .groupBy(by, "_key")
+        .agg(
+            F.count("_pos").alias("n"),
+            F.count_if(F.coalesce("_pos", F.lit(0)) == 0).alias("pages"),
+            F.min_by("announced", "_said").alias("announced"),
+            F.min("_said").alias("_said"),
+        )
     )
-    joined = totals.join(distinct, by, "left").withColumn(
-        "distinct_items", F.coalesce("distinct_items", F.lit(0))
+    totals = per_key.groupBy(by).agg(
+        F.sum("pages").alias("pages"),
+        F.min_by("announced", "_said").alias("expected"),
+        F.sum("n").alias("received"),
+        F.count("_key").alias("distinct_items"),
     )
     missing = F.greatest(F.col("expected") - F.col("distinct_items"), F.lit(0))
-    return joined.select(
+    return totals.select(
         by,
         "pages",
         "expected",

@@ -44,9 +44,9 @@ def parse_entity(
     declared types, a missing required field, or a malformed id or time.
     """
     schema = f"{entity.parsed_schema}, _broken string"
-    parsed = df.withColumn(
-        "_p", F.from_json(item, schema, {"columnNameOfCorruptRecord": "_broken"})
-    )
+    record = F.from_json(item, schema, {"columnNameOfCorruptRecord": "_broken"})
+    # A generator keeps later filters above the parse; pushed below it they would parse once per field.
+    parsed = df.select("*", F.explode(F.array(record)).alias("_p"))
     problems: list[Column] = [F.when(F.col("_p._broken").isNotNull(), F.lit("not readable as declared"))]
     columns: dict[str, Column] = {}
     for f in entity.fields:

@@ -19,6 +19,8 @@ from ledgerlake.operators.upsert import delete_insert, replace_children, upsert
 LAYERS = ("raw", "staging", "curated", "delivery")
 BUCKET = "key_bucket"
 PROPERTY = "ledgerlake.bucket"
+# About as many keys as fit Spark's default broadcast limit of 10 MB.
+SMALL_BATCH_ROWS = 200_000
 
 
 def database(tenant: str, layer: str) -> str:
@@ -80,25 +82,40 @@ def merge_table(
     table: str,
     batch: DataFrame,
     merge: Callable[[DataFrame, DataFrame], DataFrame],
+    rebalance: bool | None = None,
 ) -> int:
     """Apply a merge to the buckets the batch touches; returns how many were rewritten.
 
-    The list of touched buckets is bounded by their number. It prunes the read to these partitions, and
-    the write replaces the same partitions only. The rebalance hint keeps files even when a bucket is
-    much larger than the others.
+    Batch rows are counted per bucket first; the result is bounded by the number of buckets. It prunes
+    the read to these partitions, and the write replaces the same partitions only.
+
+    A small batch joins by broadcast: target rows stay in the order of their files and need no shuffle
+    at all. A large one is joined by a shuffle that scatters buckets, so its result is rebalanced by
+    bucket to keep files few and even. ``rebalance`` overrides that choice.
     """
     _add_columns(spark, table, batch)
     slot = bucket_of(*bucketing(spark, table))
-    touched = [r[0] for r in batch.select(slot.alias(BUCKET)).distinct().collect()]
-    if not touched:
+    counts = batch.groupBy(slot.alias(BUCKET)).count().collect()
+    if not counts:
         return 0
+    touched = [r[0] for r in counts]
+    if rebalance is None:
+        rebalance = sum(r[1] for r in counts) > SMALL_BATCH_ROWS
     current = spark.table(table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    merged = merge(current, batch).withColumn(BUCKET, slot)
-    columns = spark.table(table).columns
-    merged.hint("rebalance", BUCKET).select(*columns).write.insertInto(table, overwrite=True)
+    merged = merge(current, batch).withColumn(BUCKET, slot).select(*spark.table(table).columns)
+    _overwrite_buckets(merged, table, rebalance)
     return len(touched)
 
 
+def _overwrite_buckets(rows: DataFrame, table: str, rebalance: bool) -> None:
+    (rows.hint("rebalance", BUCKET) if rebalance else rows).write.insertInto(table, overwrite=True)
+
+
+def compact_table(spark: SparkSession, table: str) -> None:
+    """Rewrite a keyed table with few, even files per bucket; run it now and then after many small merges."""
+    _overwrite_buckets(spark.table(table), table, True)
+
+
 def upsert_table(
     spark: SparkSession,
     table: str,

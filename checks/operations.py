@@ -151,13 +151,13 @@ def q_schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(
     "replace_children",
-    """with batch as (select conv_id, turn, 'new' as role from conversations where conv_id % 3 = 0 and turn % 2 = 0)
+    """with batch as (select conv_id, turn, 'new' as role from conversations where role = 'system')
 select * from batch union all
 select conv_id, turn, role from conversations c where not exists (select 1 from batch b where b.conv_id = c.conv_id)""",
 )
 def q_replace_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    batch = target.where("conv_id % 3 = 0 and turn % 2 = 0").withColumn("role", F.lit("new"))
+    batch = target.where("role = 'system'").withColumn("role", F.lit("new"))
     return replace_children(target, batch, "conv_id")
 
 
@@ -504,19 +504,18 @@ def q_page_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """with p as (select o_orderkey // 100 as page, count(*) as n from orders group by 1),
 k as (select page, page % 10 as endpoint, page % 6 as kind, case when page % 6 = 4 then null else n end as total,
              case when page % 6 = 5 then 0 else n end as n from p)
-select endpoint, cast(count(*) + count(*) filter (page % 4 = 0) as bigint) as pages,
-       arg_min(total, page) filter (total is not null) as expected,
-       cast(sum(n) + coalesce(sum(n) filter (page % 4 = 0), 0) as bigint) as received, cast(sum(n) as bigint) as distinct_items,
+select endpoint, cast(count(*) * times as bigint) as pages, arg_min(total, page) filter (total is not null) as expected,
+       cast(sum(n) * times as bigint) as received, cast(sum(n) as bigint) as distinct_items,
        cast(greatest(arg_min(total, page) filter (total is not null) - sum(n), 0) as bigint) as missing,
        case when arg_min(total, page) filter (total is not null) is null then 'unknown'
             when arg_min(total, page) filter (total is not null) > sum(n) then 'short'
-            when sum(n) filter (page % 4 = 0) > 0 then 'repeated' else 'complete' end as status
-from k group by endpoint""",
+            when times > 1 and sum(n) > 0 then 'repeated' else 'complete' end as status
+from (select *, case when endpoint < 3 then 2 else 1 end as times from k) group by endpoint, times""",
 )
 def q_page_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fourth page landed twice."""
+    """Three of the ten endpoints delivered every page twice."""
     once = _pages(spark, sf_dir)
-    return pages.reconcile_pages(once.unionByName(once.where("page % 4 = 0")))
+    return pages.reconcile_pages(once.unionByName(once.where("endpoint < 3")))
 
 
 ITEM_JSON = (
@@ -568,17 +567,18 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(
     "demo_ingest",
-    """select c_custkey as id, case when c_custkey % 4 = 0 then concat('Customer ', c_custkey) else c_name end as name,
+    """select c_custkey as id, case when c_acctbal < 0 then concat('Customer ', c_custkey) else c_name end as name,
        timestamp '1998-06-01 00:00:00' as ingested_at,
-       case when c_custkey % 4 = 0 then timestamp '1998-06-01 00:00:00' else timestamp '1998-05-01 00:00:00' end as loaded_at
+       case when c_acctbal < 0 then timestamp '1998-06-01 00:00:00' else timestamp '1998-05-01 00:00:00' end as loaded_at
 from customer""",
 )
 def q_demo_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "customer").selectExpr(
-        "c_custkey as id", "c_name as name", "timestamp '1998-06-01 00:00:00' as ingested_at"
+        "c_custkey as id", "c_name as name", "timestamp '1998-06-01 00:00:00' as ingested_at", "c_acctbal"
     )
-    target = rows.withColumn("loaded_at", F.lit(datetime(1998, 5, 1)).cast("timestamp"))
-    batch = rows.where("id % 4 = 0").withColumn("name", F.concat(F.lit("Customer "), F.col("id").cast("string")))
+    target = rows.drop("c_acctbal").withColumn("loaded_at", F.lit(datetime(1998, 5, 1)).cast("timestamp"))
+    name = F.concat(F.lit("Customer "), F.col("id").cast("string"))
+    batch = rows.where("c_acctbal < 0").drop("c_acctbal").withColumn("name", name)
     return plain(upsert(target, batch, ["id"], loaded_at=AS_OF))
 
 

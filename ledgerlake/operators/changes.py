@@ -33,8 +33,11 @@ def changed_keys(
 
 
 def follow(detail: DataFrame, keys: DataFrame, on: str, key: str = "id") -> DataFrame:
-    """Detail rows whose parent is among the changed keys."""
-    return detail.join(keys.select(F.col(key).alias(on)), on, "left_semi")
+    """Detail rows whose parent is among the changed keys.
+
+    The keys are made distinct first (map-side), so a parent that changed very often is one row.
+    """
+    return detail.join(keys.select(F.col(key).alias(on)).distinct(), on, "left_semi")
 
 
 def with_parent(
@@ -74,8 +77,9 @@ def scan_ids(
         return F.try_variant_get(v, "$", "array<variant>")
 
     def text_at(v: Column, path: str) -> Column:
-        value = F.try_variant_get(v, path, "string")
-        return F.when(~value.isin("", "0", "false"), value)
+        """The value as text; NULL for the JSON values that count as no id."""
+        written = F.to_json(F.try_variant_get(v, path, "variant"))
+        return F.when(~written.isin('""', "0", "false", "null", "{}", "[]"), F.try_variant_get(v, path, "string"))
 
     nothing = F.array().cast("array<struct<key:string,value:variant>>")
     no_ids = F.array().cast("array<string>")

@@ -100,12 +100,12 @@ def load_entity(
     run_id: str | None = None,
     root: str | None = None,
     mode: str = "quarantine",
-    order: Iterable[str] = ("position",),
+    order: Iterable[str] = ("page", "position"),
     buckets: int = 16,
 ) -> tuple[int, DataFrame]:
     """Merge landed items (JSON text in ``item``) into the raw table and move the watermark.
 
-    ``items`` may also carry ``position`` (arrival order within the batch) and, for detail entities,
+    ``items`` may also carry ``page`` and ``position`` (arrival order within the batch) and, for detail entities,
     the parent's key under the child's column name and ``parent_changed_at``. Returns the row count and the rejected items.
     """
     entity = ENTITIES[name]

@@ -12,7 +12,7 @@ TOTAL_KEYS = ("itens_totais", "totalItems", "total_itens", "total")
 
 def read_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Landed responses as ``source_file, body``: one per file, or one per line."""
-    text = spark.read.text(path) if lines else spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=not lines)
     return text.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body"))
 
 
@@ -93,7 +93,9 @@ def reconcile_pages(
         F.sum("n").alias("received"),
         F.count("_key").alias("distinct_items"),
     )
-    missing = F.greatest(F.col("expected") - F.col("distinct_items"), F.lit(0))
+    missing = F.when(
+        F.col("expected").isNotNull(), F.greatest(F.col("expected") - F.col("distinct_items"), F.lit(0))
+    )
     return totals.select(
         by,
         "pages",

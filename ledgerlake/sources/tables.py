@@ -70,7 +70,13 @@ def source(spark: SparkSession, tenant: str, name: str) -> DataFrame:
 
 
 def read(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table).drop(BUCKET)
+    return _current(spark, table).drop(BUCKET)
+
+
+def _current(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is stored now: another session, such as a stream's, may have replaced files."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -101,7 +107,7 @@ def merge_table(
     touched = [r[0] for r in counts]
     if rebalance is None:
         rebalance = sum(r[1] for r in counts) > SMALL_BATCH_ROWS
-    current = spark.table(table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    current = _current(spark, table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
     merged = merge(current, batch).withColumn(BUCKET, slot).select(*spark.table(table).columns)
     _overwrite_buckets(merged, table, rebalance)
     return len(touched)
@@ -113,7 +119,7 @@ def _overwrite_buckets(rows: DataFrame, table: str, rebalance: bool) -> None:
 
 def compact_table(spark: SparkSession, table: str) -> None:
     """Rewrite a keyed table with few, even files per bucket; run it now and then after many small merges."""
-    _overwrite_buckets(spark.table(table), table, True)
+    _overwrite_buckets(_current(spark, table), table, True)
 
 
 def upsert_table(

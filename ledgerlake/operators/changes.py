@@ -66,63 +66,42 @@ def scan_ids(
 
     A hit is ``single: {id}``, every ``{id}`` in a list under ``many``, or a value under ``direct``;
     hits are not searched further, everything else is. Each record is parsed once to a VARIANT and
-    unfolded level by level inside its own row, so the table is scanned once and only id strings are
-    shuffled. A record that is nested deeper than ``max_depth`` levels raises.
+    unfolded level by level: a row is one value still to be searched or one id found. The table is
+    scanned once, without a shuffle until the ids are made distinct. A record that is nested deeper
+    than ``max_depth`` levels raises.
     """
-
-    def as_map(v: Column) -> Column:
-        return F.try_variant_get(v, "$", "map<string,variant>")
-
-    def as_list(v: Column) -> Column:
-        return F.try_variant_get(v, "$", "array<variant>")
+    row = "struct<found:string,key:string,value:variant>"
+    none, no_value = F.lit(None).cast("string"), F.lit(None).cast("variant")
 
     def text_at(v: Column, path: str) -> Column:
         """The value as text; NULL for the JSON values that count as no id."""
         written = F.to_json(F.try_variant_get(v, path, "variant"))
         return F.when(~written.isin('""', "0", "false", "null", "{}", "[]"), F.try_variant_get(v, path, "string"))
 
-    nothing = F.array().cast("array<struct<key:string,value:variant>>")
-    no_ids = F.array().cast("array<string>")
-
-    def children(v: Column) -> Column:
-        fields = F.transform(
-            F.map_entries(as_map(v)), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))
-        )
-        items = F.transform(as_list(v), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
-        return F.coalesce(fields, items, nothing)
-
-    def hits(node: Column) -> Column:
-        key, value = node["key"], node["value"]
-        listed = F.transform(as_list(value), lambda x: text_at(x, "$.id"))
-        found = (
-            F.when(key == single, F.array(text_at(value, "$.id")))
-            .when(key == many, F.coalesce(listed, no_ids))
-            .when(key == direct, F.array(text_at(value, "$")))
-        )
-        return F.coalesce(found, no_ids)
-
-    def is_hit(node: Column) -> Column:
-        key, value = node["key"], node["value"]
-        return F.coalesce(
-            F.when(key == single, text_at(value, "$.id").isNotNull())
-            .when(key == many, as_list(value).isNotNull())
-            .when(key == direct, text_at(value, "$").isNotNull()),
-            F.lit(False),
-        )
-
-    level = df.where(F.col(json_column).isNotNull()).select(
-        children(F.parse_json(json_column)).alias("nodes"), no_ids.alias("ids")
-    )
-    for _ in range(max_depth):
-        level = level.select(
-            F.flatten(
-                F.transform(F.filter("nodes", lambda n: ~is_hit(n)), lambda n: children(n["value"]))
-            ).alias("nodes"),
-            F.concat("ids", F.flatten(F.transform("nodes", hits))).alias("ids"),
+    key, value = F.col("key"), F.col("value")
+    listed = F.try_variant_get(value, "$", "array<variant>")
+    fields = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+    own_id, direct_id = text_at(value, "$.id"), text_at(value, "$")
+
+    def hit(found: Column) -> Column:
+        return F.struct(found, none, no_value).cast(row)
+
+    following = (
+        F.when(F.col("found").isNotNull(), F.array(hit(F.col("found"))))
+        .when((key == single) & own_id.isNotNull(), F.array(hit(own_id)))
+        .when((key == many) & listed.isNotNull(), F.transform(listed, lambda x: hit(text_at(x, "$.id"))))
+        .when((key == direct) & direct_id.isNotNull(), F.array(hit(direct_id)))
+        .otherwise(
+            F.coalesce(
+                F.transform(fields, lambda e: F.struct(none, e["key"], e["value"]).cast(row)),
+                F.transform(listed, lambda x: F.struct(none, none, x).cast(row)),
+            )
         )
-    complete = F.when(F.size("nodes") == 0, F.col("ids")).otherwise(
-        F.raise_error(F.lit(f"record nested deeper than {max_depth} levels")).cast("array<string>")
     )
-    return (
-        level.select(F.explode(complete).alias("id")).where(F.col("id").isNotNull()).distinct()
+    level = df.where(F.col(json_column).isNotNull()).select(
+        none.alias("found"), none.alias("key"), F.parse_json(json_column).alias("value")
     )
+    for _ in range(max_depth + 2):
+        level = level.select(F.inline(following))
+    too_deep = F.raise_error(F.lit(f"record nested deeper than {max_depth} levels")).cast("string")
+    return level.select(F.coalesce("found", too_deep).alias("id")).distinct()

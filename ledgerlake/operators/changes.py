@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.time import instant
+
 
 def changed_keys(
     parents: DataFrame | Sequence[DataFrame],
     key: str = "id",
     changed_at: str = "data_alteracao",
-    since: object | None = None,
+    since: datetime | str | None = None,
     newest_first: bool | None = None,
 ) -> DataFrame:
     """Keys of the parents changed after ``since`` (all of them without one), over one or more tables.
@@ -25,7 +28,7 @@ def changed_keys(
     slim = [p.select(F.col(key), F.col(changed_at)) for p in tables]
     keys = reduce(DataFrame.unionByName, slim)
     if since is not None:
-        keys = keys.where(F.col(changed_at) > F.lit(since))
+        keys = keys.where(F.col(changed_at) > instant(since))
     if newest_first is None:
         return keys
     column = F.col(changed_at)

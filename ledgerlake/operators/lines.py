@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import first_id, uuid5_key
+from ledgerlake.functions.time import instant
 
 
 def line_number(position: Column, *candidates: str) -> Column:
@@ -62,5 +63,5 @@ def daily_snapshot(accounts: DataFrame, balances: DataFrame, now: datetime) -> D
         "saldo_atual",
         "saldo",
         F.lit(moment.date()).alias("snapshot_date"),
-        F.lit(moment).cast("timestamp").alias("data_snapshot"),
+        instant(moment).alias("data_snapshot"),
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions import assert_key
+from ledgerlake.functions.time import instant
 
 _UNORDERED = (T.MapType, T.VariantType)
 
@@ -56,7 +57,7 @@ def upsert(
     rows = latest_by(batch, keys, order) if order else batch
     rows = rows.withColumns({k: assert_key(k, k) for k in keys})
     if loaded_at is not None:
-        stamp = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at).cast("timestamp")
+        stamp = loaded_at if isinstance(loaded_at, Column) else instant(loaded_at)
         rows = rows.withColumn("loaded_at", stamp)
     named = batch.select(*keys).distinct()
     kept = target.join(named, keys, "left_anti")

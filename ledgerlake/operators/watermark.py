@@ -8,6 +8,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.time import instant
+
 WATERMARK_KEYS = ("tenant", "source", "entity")
 WATERMARK_SCHEMA = (
     "tenant string, source string, entity string, watermark string, rows_loaded bigint, run_id string, "
@@ -68,7 +70,7 @@ def window_bounds(now: datetime, mark: dict | None, default_days: int = 30) -> t
 
 
 def in_window(column: str, since: datetime, until: datetime) -> Column:
-    return F.col(column).between(F.lit(since), F.lit(until))
+    return F.col(column).between(instant(since), instant(until))
 
 
 def incremental_slice(
@@ -85,5 +87,5 @@ def incremental_slice(
     """
     if target is None:
         return source
-    bound = target.agg(F.max(cursor)).first()[0] or datetime(1900, 1, 1)
-    return source.where(F.col(loaded) > F.lit(bound))
+    bound = target.agg(F.max(cursor).cast("string")).first()[0] or "1900-01-01 00:00:00"
+    return source.where(F.col(loaded) > F.lit(bound).cast(source.schema[loaded].dataType))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.time import instant
+
 
 def rolling_window(column: str, days: int, as_of: date) -> Column:
     """Within the last ``days`` days up to and including ``as_of``; later dates are out."""
@@ -14,9 +16,9 @@ def rolling_window(column: str, days: int, as_of: date) -> Column:
     return day.between(F.lit(as_of - timedelta(days=days)), F.lit(as_of))
 
 
-def changed_since(column: str, since: object | None) -> Column:
+def changed_since(column: str, since: datetime | str | None) -> Column:
     """Changed at or after the cursor; everything on the first run."""
-    return F.lit(True) if since is None else F.col(column) >= F.lit(since)
+    return F.lit(True) if since is None else F.col(column) >= instant(since)
 
 
 def date_chunks(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import any_of, cnpj_is_valid, cpf_is_valid, flag
 from ledgerlake.functions.documents import digits_of
+from ledgerlake.functions.time import instant
 
 # Account kinds of the source system by nature.
 ACCOUNT_NATURE = {
@@ -20,7 +21,7 @@ RATIO = "decimal(28,10)"
 
 
 def _refreshed(df: DataFrame, as_of: datetime) -> DataFrame:
-    return df.withColumn("dim_refreshed_at", F.lit(as_of).cast("timestamp"))
+    return df.withColumn("dim_refreshed_at", instant(as_of))
 
 
 def _has(source: str, target: str) -> Column:
@@ -156,7 +157,7 @@ def dim_contratos(stg: DataFrame, detail: DataFrame, as_of: datetime) -> DataFra
         "termos",
         "source_created_at",
         "source_updated_at",
-        (F.col("data_fim") < F.lit(as_of).cast("timestamp")).alias("is_vencido"),
+        (F.col("data_fim") < instant(as_of)).alias("is_vencido"),
         any_of("status", "ATIVO").alias("is_ativo"),
         _has("cliente_id", "has_cliente"),
         _has("vendedor_id", "has_vendedor"),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import any_of, flag
+from ledgerlake.functions.time import instant
 
 # Status words of the source system, in both of its languages where it has two.
 ISSUED = ("EMITIDA", "CORRIGIDA_SUCESSO")
@@ -24,7 +25,7 @@ MONEY = "decimal(18,4)"
 
 
 def _fact(stg: DataFrame, as_of: datetime, *columns: str | Column) -> DataFrame:
-    return stg.select(*columns, F.lit(as_of).cast("timestamp").alias("fct_refreshed_at"))
+    return stg.select(*columns, instant(as_of).alias("fct_refreshed_at"))
 
 
 def _has(source: str, target: str) -> Column:
@@ -41,7 +42,7 @@ def _money_or_zero(name: str) -> Column:
 
 def overdue(status: str, due: str, closed: tuple[str, ...], as_of: datetime) -> Column:
     """Still open and due strictly before ``as_of``; false when there is no due date."""
-    return ~any_of(status, *closed) & flag(F.col(due) < F.lit(as_of).cast("timestamp"))
+    return ~any_of(status, *closed) & flag(F.col(due) < instant(as_of))
 
 
 def _title(stg: DataFrame, as_of: datetime, party: str, party_columns: list[str]) -> DataFrame:

@@ -77,7 +77,7 @@ def with_generated_ids(items: DataFrame, entity: Entity) -> DataFrame:
 
 def in_scope(entity: Entity, now: datetime, mark: dict | None) -> Column:
     """The rows a run takes: inside the entity's window and, with a cursor, changed since then."""
-    since = datetime.fromisoformat(mark["value"]) if mark and mark.get("value") else None
+    since = mark["value"] if mark and mark.get("value") else None
     taken: Column = F.lit(True)
     if entity.load == "window":
         taken = rolling_window(entity.date_column, entity.days, now.date())
@@ -157,7 +157,7 @@ def table_columns(entity: Entity) -> dict[str, str]:
     return {single: "int", **entity.columns} if single else entity.columns
 
 
-def write_once(rows: DataFrame, name: str) -> tuple[DataFrame, int, datetime | None]:
+def write_once(rows: DataFrame, name: str) -> tuple[DataFrame, int, str | None]:
     """Parse a batch once: store it below the shared folder and take count and high water on the way.
 
     The merge and the list of rejected items read these columns instead of parsing JSON again.
@@ -168,11 +168,12 @@ def write_once(rows: DataFrame, name: str) -> tuple[DataFrame, int, datetime | N
         rows,
         path,
         F.count_if("_taken").alias("taken"),
-        F.max(F.when(F.col("_taken"), F.col("_seen"))).alias("high"),
+        F.max(F.when(F.col("_taken"), F.col("_seen"))).cast("string").alias("high"),
     )
     observed.drop("_seen").write.parquet(path)
     stored = spark.read.schema(rows.drop("_seen").schema).parquet(path)
-    return stored, seen.get["taken"], seen.get["high"]
+    high = seen.get["high"]
+    return stored, seen.get["taken"], high.replace(" ", "T") if high else None
 
 
 def build_model(

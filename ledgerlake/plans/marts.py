@@ -11,6 +11,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.time import instant
+
 MONEY = "decimal(14,2)"
 
 
@@ -31,7 +33,7 @@ def clientes_resumo(people: DataFrame, as_of: datetime) -> DataFrame:
         F.count_if("has_phone").alias("com_telefone"),
         F.count_if("has_documento").alias("com_documento"),
         F.count_if(F.coalesce("documento_is_valid", F.lit(False))).alias("com_documento_valido"),
-        F.lit(as_of).cast("timestamp").alias("snapshot_at"),
+        instant(as_of).alias("snapshot_at"),
     )
 
 

@@ -21,6 +21,7 @@ from ledgerlake.functions import (
     upper_text,
     uuid_text,
 )
+from ledgerlake.functions.time import instant
 
 # Spellings of the person kinds in the source system.
 PERSON_KINDS = {"fisica": "pf", "física": "pf", "juridica": "pj", "jurídica": "pj"}
@@ -30,7 +31,7 @@ def _stage(raw: DataFrame, as_of: datetime, *columns: Column | str) -> DataFrame
     return raw.select(
         *columns,
         F.col("loaded_at").alias("raw_loaded_at"),
-        F.lit(as_of).cast("timestamp").alias("staged_at"),
+        instant(as_of).alias("staged_at"),
     )
 
 

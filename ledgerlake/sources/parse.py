@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import blank_to_null, drop_falsy_json, enum_name, first_id, uuid_text, zero_to_null
 from ledgerlake.functions.keys import ZERO_UUID
+from ledgerlake.functions.time import instant
 from ledgerlake.sources.entities import KINDS, Entity, Field
 
 
@@ -72,7 +73,7 @@ def parse_entity(
         columns = {entity.options["singleton"]: F.lit(1), **columns}
     if entity.keep_raw:
         columns["raw"] = F.col(item)
-    columns["loaded_at"] = F.lit(loaded_at).cast("timestamp")
+    columns["loaded_at"] = instant(loaded_at)
     kept = [k for k in keep if k not in columns]
     return parsed.select(
         *kept,

@@ -52,14 +52,11 @@ def test_latest_by_reduces_before_the_shuffle(spark):
 
 @pytest.mark.parametrize("inclusive", [True, False])
 @pytest.mark.parametrize("span", [0, 1, 15, 16, 17, 32, 365])
-def test_date_chunks_follow_the_loop(spark, span, inclusive):
+def test_date_chunks_cover_every_day_once(spark, span, inclusive):
     start = date(2024, 1, 1)
     end = start + timedelta(days=span)
-    want, cursor = [], start
-    while cursor < end or (inclusive and cursor == end):
-        stop = min(cursor + timedelta(days=15), end)
-        want.append((len(want), cursor, stop))
-        cursor = stop + timedelta(days=1)
+    starts = [start + timedelta(days=16 * i) for i in range(span // 16 + 1)]
+    want = [(i, s, min(s + timedelta(days=15), end)) for i, s in enumerate(starts) if inclusive or s < end]
     assert [tuple(r) for r in windows.date_chunks(spark, start, end, 15, inclusive).orderBy("chunk").collect()] == want
 
 
@@ -68,20 +65,29 @@ def shown(value):
     return json.dumps(value, separators=(",", ":"), sort_keys=True) if isinstance(value, (dict, list)) else str(value)
 
 
+def named_ids(key, value):
+    """The ids a field names, or None if its value is to be searched."""
+    match key, value:
+        case "cobranca", {"id": i} if i:
+            return [i]
+        case "cobrancas", list():
+            return [x["id"] for x in value if isinstance(x, dict) and x.get("id")]
+        case "id_cobranca", v if v:
+            return [v]
+    return None
+
+
 def brute_scan(payload):
-    if isinstance(payload, dict):
-        for key, value in payload.items():
-            if key == "cobranca" and isinstance(value, dict) and value.get("id"):
-                yield shown(value["id"])
-            elif key == "cobrancas" and isinstance(value, list):
-                yield from (shown(c["id"]) for c in value if isinstance(c, dict) and c.get("id"))
-            elif key == "id_cobranca" and value:
-                yield shown(value)
-            else:
-                yield from brute_scan(value)
-    elif isinstance(payload, list):
-        for item in payload:
-            yield from brute_scan(item)
+    found, open_values = set(), [payload]
+    while open_values:
+        value = open_values.pop()
+        fields = value.items() if isinstance(value, dict) else [(None, v) for v in value] if isinstance(value, list) else []
+        for key, inner in fields:
+            ids = named_ids(key, inner)
+            found.update(shown(i) for i in ids or [])
+            if ids is None:
+                open_values.append(inner)
+    return found
 
 
 def test_scan_ids_equals_brute_force(spark):

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 
 def all_queries():
-    from checks import models, operations, streams
+    from checks import models, operations, stored, streams
 
-    return {**models.QUERIES, **operations.QUERIES, **streams.QUERIES}
+    return {**models.QUERIES, **operations.QUERIES, **streams.QUERIES, **stored.QUERIES}
 
 
 def all_oracles():
-    from checks import models, operations, streams
+    from checks import models, operations, stored, streams
 
-    return {**models.ORACLE, **operations.ORACLE, **streams.ORACLE}
+    return {**models.ORACLE, **operations.ORACLE, **streams.ORACLE, **stored.ORACLE}

@@ -36,6 +36,7 @@ def global_row_number(
         .agg(F.count(F.lit(1)).alias("n"))
         .select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
     )
-    return parts.join(offsets, "_part").select(
+    # One row per written part, however many rows there are: safe to broadcast.
+    return parts.join(F.broadcast(offsets), "_part").select(
         (F.col("_offset") + F.col("_pos") + 1).alias(name), *df.columns
     )

@@ -82,8 +82,12 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
 
 
 def replace_children(target: DataFrame, batch: DataFrame, parent: Sequence[str] | str) -> DataFrame:
-    """Replace all children of the parents in the batch; parents without children there stay as they are."""
+    """Replace all children of the parents in the batch; parents without children there stay as they are.
+
+    A child without a parent raises.
+    """
     on = [parent] if isinstance(parent, str) else list(parent)
+    batch = batch.withColumns({p: assert_key(p, p) for p in on})
     kept = target.join(batch.select(*on).distinct(), on, "left_anti")
     return align_append(kept, batch)
 

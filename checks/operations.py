@@ -24,6 +24,7 @@ from ledgerlake.functions import (
     uuid5_key,
     zero_to_null,
 )
+from ledgerlake.functions.time import instant
 from ledgerlake.operators import changes, lines, quality, ranking, runlog, tenants, watermark, windows
 from ledgerlake.operators.upsert import delete_insert, latest_by, replace_children, upsert
 from ledgerlake.plans import audits, marts, staging
@@ -106,7 +107,7 @@ where not exists (select 1 from new n where n.l_orderkey = o.l_orderkey and n.l_
 def q_upsert_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, batch = _two_batches(spark, sf_dir)
     old = target.withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("A"))).withColumn(
-        "loaded_at", F.lit(datetime(1990, 1, 1)).cast("timestamp")
+        "loaded_at", instant(datetime(1990, 1, 1))
     )
     new = latest_by(batch, LINE_KEYS, ["l_shipdate"]).withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("R")))
     return plain(upsert(old, new, LINE_KEYS, insert_only=["l_shipdate", "l_returnflag"], loaded_at=AS_OF))
@@ -524,7 +525,7 @@ ITEM_JSON = (
     "',\"situacao\":', case when o_orderkey % 2 = 0 then '{\"nome\":\"APROVADO\",\"descricao\":\"x\"}' else '\"CANCELADO\"' end, "
     "',\"tipo\":\"  \",\"itens\":\"PRODUCT\",\"total\":', cast(cast(o_totalprice as decimal(18,2)) as string), "
     "'6666,\"data\":\"', cast(cast(o_orderdate as date) as string), '\",\"criado_em\":\"', "
-    "cast(cast(o_orderdate as date) as string), 'T14:26:00.728Z\",\"cliente\":{\"id\":\"', cast(o_custkey as string), "
+    "cast(cast(o_orderdate as date) as string), 'T14:26:00.728\",\"cliente\":{\"id\":\"', cast(o_custkey as string), "
     "'\",\"nome\":\"n\"},\"categoria\":{},\"novo_campo\":[1,2]}') end"
 )
 
@@ -576,7 +577,7 @@ def q_demo_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "customer").selectExpr(
         "c_custkey as id", "c_name as name", "timestamp '1998-06-01 00:00:00' as ingested_at", "c_acctbal"
     )
-    target = rows.drop("c_acctbal").withColumn("loaded_at", F.lit(datetime(1998, 5, 1)).cast("timestamp"))
+    target = rows.drop("c_acctbal").withColumn("loaded_at", instant(datetime(1998, 5, 1)))
     name = F.concat(F.lit("Customer "), F.col("id").cast("string"))
     batch = rows.where("c_acctbal < 0").drop("c_acctbal").withColumn("name", name)
     return plain(upsert(target, batch, ["id"], loaded_at=AS_OF))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from checks.mapping import load, raw_cte, raw_table
 from checks.models import AS_OF, ORACLE as MODEL_ORACLE, Query, plain
 from checks.operations import ITEM_JSON, ORACLE as OPERATION_ORACLE
+from ledgerlake.functions.time import instant
 from ledgerlake.operators.watermark import incremental_slice
 from ledgerlake.plans import facts, loads, marts, staging
 from ledgerlake.session import shared_dir
@@ -64,7 +65,7 @@ def q_incremental_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = tables.table_name(tenant, "curated", "fct_contas_a_receber")
     mart = tables.table_name(tenant, "delivery", "fin_receita_diaria")
     cut = datetime(1998, 1, 1)
-    first = staging.stg_contas_a_receber(raw.where(F.col("loaded_at") <= F.lit(cut.isoformat(sep=" "))), cut)
+    first = staging.stg_contas_a_receber(raw.where(F.col("loaded_at") <= instant(cut)), cut)
     tables.materialize(first, stage, "incremental", key="evento_id", buckets=8)
     rest = incremental_slice(raw, tables.read(spark, stage))
     tables.materialize(

@@ -5,16 +5,18 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from checks import all_oracles, all_queries
 from checks.compare import compare
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = all_queries(), all_oracles()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 
 
 def test_every_query_has_sql():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -25,6 +25,16 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(True))
 
 
+def thinned(key: Column, wanted: int, total: Column | int) -> Column:
+    """True for a share of the rows, by hash of the key, that holds about four times the wanted number.
+
+    A bounded sample is then sorted out of this share, not out of all rows, so the task that does it reads little
+    however many partitions there are. Small tables keep all rows.
+    """
+    share = F.least(F.lit(1.0), 4.0 * wanted / F.greatest(F.lit(total) if isinstance(total, int) else total, F.lit(1)))
+    return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < share * float(1 << 30)
+
+
 def stored(df: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
     """The rows written once below ``spark.checkpoint.dir`` and read again.
 
@@ -33,4 +43,4 @@ def stored(df: DataFrame, purpose: str, partition_by: list[str] | None = None) -
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     df.write.option("compression", "zstd").parquet(path, partitionBy=partition_by)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # columns to partition by come last

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import held_out
+from ledgerlake.llm.common import held_out, thinned
 
 #: Learning rows per language (lowest hash of the id first), characters of the slice taken from each, block bytes.
 SAMPLE_ROWS, SLICE, BLOCK = 400, 320, 2048
@@ -44,8 +44,12 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, slice_chars: int = SLIC
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
     learning = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
     place = f"cast(1 + pmod(xxhash64(text), greatest(length(text) - {slice_chars}, 1)) as int)"
+    common = {r["lang"]: r["count"] for r in learning.groupBy("lang").count().collect()}  # a row per language
+    if not common:
+        return Model((), ())
+    total = F.element_at(F.create_map(*[F.lit(x) for pair in common.items() for x in pair]), F.col("lang"))
     rows = (
-        learning.where(F.col("text").rlike(r"\p{L}"))
+        learning.where(thinned(F.col("doc_id"), sample_rows, total) & F.col("text").rlike(r"\p{L}"))
         .withColumn("n", F.row_number().over(order))  # Spark keeps no more than the limit per task before the shuffle
         .where(F.col("n") <= sample_rows)
         .select("lang", "n", F.expr(f"substring(text, {place}, {slice_chars})").alias("part"))
@@ -54,7 +58,6 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, slice_chars: int = SLIC
     by: dict[str, list[tuple[int, str]]] = {}
     for r in rows:
         by.setdefault(r["lang"], []).append((r["n"], r["part"].lower()))
-    common = {r["lang"]: r["count"] for r in learning.groupBy("lang").count().collect()}  # a row per language
     names = sorted(by, key=lambda k: (-common[k], k))
     return Model(tuple(names), tuple("\n".join(p for _, p in sorted(by[k])).encode() for k in names))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import whole_texts
+from ledgerlake.llm.common import thinned, whole_texts
 
 # The base patterns, in the order of kinds.
 BASE = {
@@ -320,7 +320,9 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
             found = [z for t in batch.column(1).to_pylist() for z in zones(t)[:60] if len(z.text) <= 400]
             yield pa.RecordBatch.from_arrays([pa.array([z.text for z in found], pa.string()), pa.array([sorted(z.hints) for z in found], pa.list_(pa.string()))], names=["zone", "hints"])
 
-    some = whole_texts(docs).where(F.col("text").rlike("[0-9@]")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    texts = whole_texts(docs)
+    few = texts.where(thinned(F.col("doc_id"), 8 * sample_rows, docs.count()) & F.col("text").rlike("[0-9@]"))
+    some = few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     rows = some.mapInArrow(run, "zone string, hints array<string>").distinct().orderBy(F.xxhash64("zone", "hints"), "zone").limit(2 * sample_rows).collect()
     return train([(r["zone"], frozenset(r["hints"])) for r in rows])
 

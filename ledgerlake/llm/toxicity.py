@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import held_out, whole_texts
+from ledgerlake.llm.common import held_out, thinned, whole_texts
 
 # Insults by theme, in the four languages of the corpus.
 LEXICONS: dict[str, list[str]] = {
@@ -51,6 +51,10 @@ THRESHOLD = 0.7
 SAMPLE_ROWS, STEM_ROWS, STEMS = 10_000, 12_000, 100
 
 
+#: Weight that a theme of the lists is expected to have; rows decide where there are enough of them.
+THEME_WEIGHT = 8.0
+
+
 @dataclass(frozen=True)
 class Model:
     bias: float
@@ -88,7 +92,8 @@ class Voters:
 
 def _learning_rows(known: DataFrame, rows: int) -> DataFrame:
     """Labelled rows outside the held-out third, lowest hash of the id first."""
-    return known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    learning = known.where(~held_out(F.col("doc_id")))
+    return learning.where(thinned(F.col("doc_id"), rows, learning.count())).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
 def learned_stems(docs: DataFrame, known: DataFrame, rows: int = STEM_ROWS, most: int = STEMS) -> tuple[str, ...]:
@@ -143,20 +148,21 @@ def _shares(fired, known, posterior, rates) -> np.ndarray:
     for weight, rate in ((posterior, rates[0]), (1 - posterior, rates[1])):
         gap = (fired - rate) * known
         cover = (gap * weight[:, None]).T @ gap
-        scale = np.sqrt(np.maximum(np.diag(cover), 1e-9))
+        scale = np.sqrt(np.diag(cover) + 2.0)  # few firings show no correlation
         total = np.maximum(total, np.abs(cover / scale[:, None] / scale[None, :]))
     np.fill_diagonal(total, 0)
     return 1 / (1 + np.where(total > 0.5, total, 0).sum(1))
 
 
-def logistic(features: np.ndarray, targets: np.ndarray, ridge: float = 0.05, steps: int = 30) -> np.ndarray:
-    """Newton steps for soft targets; the last weight is the bias and is not shrunk."""
+def logistic(features: np.ndarray, targets: np.ndarray, expected: np.ndarray, ridge: float = 0.05, steps: int = 30) -> np.ndarray:
+    """Newton steps for soft targets, drawn to the expected weights; the last weight is the bias and is drawn to none."""
     x = np.hstack([features, np.ones((len(features), 1))])
-    w, shrink = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
+    expected = np.append(expected, 0.0)
+    w, shrink = expected.copy(), np.full(x.shape[1], ridge)
     shrink[-1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - targets) + shrink * w
+        slope = x.T @ (p - targets) + shrink * (w - expected)
         bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag(shrink + 1e-6)
         step = np.linalg.solve(bend, slope)
         w -= np.clip(step, -4, 4)
@@ -167,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     """Learn from rows outside the held-out third.
 
     Of at most ``sample_rows`` labelled rows the names that fired and the label reach the driver.
-    No rows at all give a model that calls everything clean.
+    Without rows the themes of the lists decide with their expected weights.
     """
     known = labels.where("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     learned = learned_stems(docs, known)
@@ -184,16 +190,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     extra = list(learned)
     names = [*_themes(), *extra, *[f"={t}" for t in LEXICONS], *[f"~{p}" for p in PATTERNS]]
     at = {name: k for k, name in enumerate(names)}
+    expected = np.array([THEME_WEIGHT if n[0] == "=" else 0.0 for n in names])
     x = np.zeros((len(rows), len(names)))
     for k, row in enumerate(rows):
         x[k, [at[n] for n in row["fired"]]] = 1
     if not len(rows) or not x.any():
-        return Model(-6.0, dict.fromkeys(names, 0.0), learned, {}, {}, {})
+        return Model(-6.0, dict(zip(names, map(float, expected), strict=True)), learned, {}, {}, {})
     voters = [n for n in names if n[0] in "=~"] + extra + ["label"]
     votes = np.hstack([x[:, [at[n] for n in voters[:-1]]], np.array([[r["toxic"]] for r in rows])])
     hinted = x[:, [at[n] for n in [*extra, *[f"={t}" for t in LEXICONS]]]].any(1)
     posterior, toxic, clean, shares = label_model(votes, start=np.where(hinted, 0.9, 0.02))
-    weights = logistic(x, posterior)
+    weights = logistic(x, posterior, expected)
     by = lambda values: dict(zip(voters, map(float, values), strict=True))
     return Model(float(weights[-1]), dict(zip(names, map(float, weights), strict=False)), learned, by(toxic), by(clean), by(shares))
 

@@ -51,8 +51,8 @@ THRESHOLD = 0.7
 SAMPLE_ROWS, STEM_ROWS, STEMS = 10_000, 12_000, 100
 
 
-#: Weight that a theme of the lists is expected to have; rows decide where there are enough of them.
-THEME_WEIGHT = 8.0
+#: Weight of a theme of the lists, and bias, as expected; rows decide where there are enough of them.
+THEME_WEIGHT, BIAS = 8.0, -5.0
 
 
 @dataclass(frozen=True)
@@ -135,7 +135,7 @@ def label_model(votes: np.ndarray, rounds: int = 60, start: np.ndarray | None =
         for k, weight in enumerate((posterior, 1 - posterior)):
             rates[k] = (weight @ fired + 0.05) / (weight @ known + 0.1)
         rates = np.clip(rates, 1e-5, 1 - 1e-5)
-        if turn % 10 == 5:
+        if turn % 10 == 0:  # from the first round on, before twins can draw the posterior to themselves
             shares = _shares(fired, known, posterior, rates)
         gain = fired * np.log(rates[0] / rates[1]) + (known - fired) * np.log((1 - rates[0]) / (1 - rates[1]))
         odds = np.log(prior / (1 - prior)) + gain @ shares
@@ -155,11 +155,10 @@ def _shares(fired, known, posterior, rates) -> np.ndarray:
 
 
 def logistic(features: np.ndarray, targets: np.ndarray, expected: np.ndarray, ridge: float = 0.05, steps: int = 30) -> np.ndarray:
-    """Newton steps for soft targets, drawn to the expected weights; the last weight is the bias and is drawn to none."""
+    """Newton steps for soft targets, drawn to the expected weights; the last weight is the bias."""
     x = np.hstack([features, np.ones((len(features), 1))])
-    expected = np.append(expected, 0.0)
+    expected = np.append(expected, BIAS)
     w, shrink = expected.copy(), np.full(x.shape[1], ridge)
-    shrink[-1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (p - targets) + shrink * (w - expected)
@@ -195,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     for k, row in enumerate(rows):
         x[k, [at[n] for n in row["fired"]]] = 1
     if not len(rows) or not x.any():
-        return Model(-6.0, dict(zip(names, map(float, expected), strict=True)), learned, {}, {}, {})
+        return Model(BIAS, dict(zip(names, map(float, expected), strict=True)), learned, {}, {}, {})
     voters = [n for n in names if n[0] in "=~"] + extra + ["label"]
     votes = np.hstack([x[:, [at[n] for n in voters[:-1]]], np.array([[r["toxic"]] for r in rows])])
     hinted = x[:, [at[n] for n in [*extra, *[f"={t}" for t in LEXICONS]]]].any(1)

@@ -78,7 +78,7 @@ def table_merges(spark, sf_dir: str) -> dict[str, float]:
     tables.ensure_table(spark, name, columns, ["id"], 8)
     build = timed(lambda: tables.upsert_table(spark, name, rows, ["id"], ["data_alteracao"]))
     landed = shared_dir(spark, "landed")
-    rows.where("pmod(xxhash64(id), 100) = 0").write.parquet(landed)
+    rows.where("crc32(id) % 100 = 0").write.parquet(landed)
     batch = spark.read.parquet(landed)
     merge = timed(lambda: tables.upsert_table(spark, name, batch, ["id"], ["data_alteracao"], ["data_criacao"]))
     return {"table_full_build": build, "table_upsert_one_percent": merge}

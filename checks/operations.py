@@ -654,7 +654,7 @@ TASKS_SQL = """tasks as (
 LOG_SQL = """log as (
     select concat(run_id, '::', task_id, case when map_index >= 0 then concat('[', map_index, ']') else '' end) as external_run_id,
            run_id, task_id, map_index, status, started_at, case when status <> 'running' then finished_at end as finished_at,
-           rows_inserted, rows_updated, rows_deleted, case when status = 'failed' then substr(error, 1, 4000) end as error_message, event_id
+           rows_inserted, rows_updated, rows_deleted, case when status = 'failed' then error end as error_message, event_id
     from tasks)"""
 LAST_SQL = """last as (select * exclude (rn) from (
     select *, row_number() over (partition by external_run_id order by event_id desc) as rn from log) where rn = 1)"""

@@ -46,9 +46,12 @@ def follow(detail: DataFrame, keys: DataFrame, on: str, key: str = "id") -> Data
 def with_parent(
     child: DataFrame, parent: DataFrame, on: Sequence[str], columns: Sequence[str], overwrite: bool = False
 ) -> DataFrame:
-    """Copy parent columns into the child: always, or only where the child has none."""
+    """Copy parent columns into the child: always, or only where the child has none.
+
+    A child without a parent row stays, with NULL or its own values.
+    """
     renamed = parent.select(*on, *[F.col(c).alias(f"_parent_{c}") for c in columns])
-    joined = child.join(renamed, list(on), "inner")
+    joined = child.join(renamed, list(on), "left")
     has = set(child.columns)
     out = {
         c: F.col(f"_parent_{c}") if overwrite or c not in has else F.coalesce(c, f"_parent_{c}")
@@ -57,21 +60,35 @@ def with_parent(
     return joined.withColumns(out).drop(*[f"_parent_{c}" for c in columns])
 
 
+def nesting(text: Column) -> Column:
+    """How many objects and lists lie within one another in a JSON text."""
+    outside = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', "")
+    brackets = F.split(F.regexp_replace(outside, r"[^\[\]{}]", ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(at: Column, mark: Column) -> Column:
+        now = at["now"] + F.when(mark.isin("{", "["), 1).when(mark.isin("}", "]"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(at["most"], now).alias("most"))
+
+    return F.aggregate(brackets, start, step, lambda at: at["most"])
+
+
 def scan_ids(
     df: DataFrame,
     json_column: str,
     single: str = "cobranca",
     many: str = "cobrancas",
     direct: str = "id_cobranca",
-    max_depth: int = 8,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """Distinct ids that JSON records name at any depth.
 
     A hit is ``single: {id}``, every ``{id}`` in a list under ``many``, or a value under ``direct``;
     hits are not searched further, everything else is. Each record is parsed once to a VARIANT and
     unfolded level by level: a row is one value still to be searched or one id found. The table is
-    scanned once, without a shuffle until the ids are made distinct. A record that is nested deeper
-    than ``max_depth`` levels raises.
+    scanned once, without a shuffle until the ids are made distinct. As many levels are
+    unfolded as the deepest record has, which one pass over the text finds out; with ``max_depth`` that pass is
+    saved, and a record nested deeper raises.
     """
     row = "struct<found:string,key:string,value:variant>"
     none, no_value = F.lit(None).cast("string"), F.lit(None).cast("variant")
@@ -104,6 +121,8 @@ def scan_ids(
     level = df.where(F.col(json_column).isNotNull()).select(
         none.alias("found"), none.alias("key"), F.parse_json(json_column).alias("value")
     )
+    if max_depth is None:
+        max_depth = df.agg(F.max(nesting(F.col(json_column)))).first()[0] or 0
     for _ in range(max_depth + 2):
         level = level.select(F.inline(following))
     too_deep = F.raise_error(F.lit(f"record nested deeper than {max_depth} levels")).cast("string")

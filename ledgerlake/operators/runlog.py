@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-ERROR_LENGTH = 4000
 RUN_LOG_KEYS = ("external_run_id",)
 # Scheduler trigger kinds by log value.
 TRIGGER_KINDS = {
@@ -32,11 +31,11 @@ def triggered_by(kind: str, who: str) -> Column:
     )
 
 
-def task_log(tasks: DataFrame) -> DataFrame:
+def task_log(tasks: DataFrame, error_length: int | None = None) -> DataFrame:
     """Log rows keyed on run, task and the index of a mapped task (negative: not mapped).
 
     Input: ``run_id, task_id, map_index, status, started_at, finished_at, rows_inserted, rows_updated,
-    rows_deleted, error``.
+    rows_deleted, error``. The error text is kept whole unless ``error_length`` is given.
     """
     suffix = F.when(F.col("map_index") >= 0, F.format_string("[%d]", F.col("map_index"))).otherwise(F.lit(""))
     return tasks.select(
@@ -50,7 +49,7 @@ def task_log(tasks: DataFrame) -> DataFrame:
         "rows_inserted",
         "rows_updated",
         "rows_deleted",
-        F.when(F.col("status") == "failed", F.left("error", F.lit(ERROR_LENGTH))).alias("error_message"),
+        F.when(F.col("status") == "failed", F.left("error", F.lit(error_length)) if error_length else F.col("error")).alias("error_message"),
     )
 
 

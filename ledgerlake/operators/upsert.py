@@ -50,11 +50,14 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys and overwrite known ones; the last row of a key in the batch counts.
 
+    Without an order, or between rows equal in it, the greatest values of the other columns count, so a key never
+    gets two rows.
+
     ``insert_only`` columns of a known key keep the target's value, NULL included. ``loaded_at`` stamps
     every row the batch touched. A NULL key in the batch raises.
     """
     keys = list(keys)
-    rows = latest_by(batch, keys, order) if order else batch
+    rows = latest_by(batch, keys, order)
     rows = rows.withColumns({k: assert_key(k, k) for k in keys})
     if loaded_at is not None:
         stamp = loaded_at if isinstance(loaded_at, Column) else instant(loaded_at)

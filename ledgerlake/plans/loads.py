@@ -14,9 +14,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.keys import uuid5_key
+from ledgerlake.functions.time import instant
 from ledgerlake.operators.lines import invoice_item_id, line_number, opening_balance_id, sale_item_id
 from ledgerlake.operators.quality import not_null, run_checks, singleton, unique
 from ledgerlake.operators.runlog import counted
+from ledgerlake.operators.upsert import latest_by
 from ledgerlake.operators.watermark import (
     WATERMARK_KEYS,
     WATERMARK_SCHEMA,
@@ -63,7 +66,7 @@ def ensure_state(spark: SparkSession, tenant: str, root: str | None = None) -> s
     return table
 
 
-def with_generated_ids(items: DataFrame, entity: Entity) -> DataFrame:
+def with_generated_ids(items: DataFrame, entity: Entity, now: datetime) -> DataFrame:
     """Ids for records that come without one, the same on every run."""
     kind = entity.options.get("generated_id")
     if kind == "sale_item":
@@ -72,11 +75,19 @@ def with_generated_ids(items: DataFrame, entity: Entity) -> DataFrame:
         return items.withColumn("id", invoice_item_id("id", "chave_acesso", "numero_item"))
     if kind == "opening_balance":
         return items.withColumn("id", opening_balance_id("id", "conta_financeira_id", "data_referencia"))
+    if entity.load == "snapshot":  # one row per account and day; a second run on the day overwrites the first
+        day = F.coalesce(F.col("snapshot_date"), F.lit(now.date()))
+        made = uuid5_key(F.lit(entity.name), "conta_financeira_id", day.cast("string"))
+        moment = F.coalesce(F.col("data_snapshot"), instant(now.replace(microsecond=0)))
+        return items.withColumns({"id": F.coalesce("id", made), "snapshot_date": day, "data_snapshot": moment})
     return items
 
 
 def in_scope(entity: Entity, now: datetime, mark: dict | None) -> Column:
-    """The rows a run takes: inside the entity's window and, with a cursor, changed since then."""
+    """The rows a run takes: inside the entity's window and, with a cursor, changed since then.
+
+    A row without the date or change time that would decide is taken: a merge of a known row does no harm.
+    """
     since = mark["value"] if mark and mark.get("value") else None
     taken: Column = F.lit(True)
     if entity.load == "window":
@@ -88,7 +99,7 @@ def in_scope(entity: Entity, now: datetime, mark: dict | None) -> Column:
         taken = F.col(entity.date_column).isNull() | in_window(entity.date_column, start, until)
     if since is not None and entity.load in ("incremental", "window") and entity.watermarked:
         taken = taken & changed_since("data_alteracao", since)
-    return F.coalesce(taken, F.lit(False))
+    return F.coalesce(taken, F.lit(True))
 
 
 def load_entity(
@@ -100,12 +111,13 @@ def load_entity(
     run_id: str | None = None,
     root: str | None = None,
     mode: str = "quarantine",
-    order: Iterable[str] = ("page", "position"),
+    order: Iterable[str] = ("page", "source_file", "position"),
     buckets: int = 16,
 ) -> tuple[int, DataFrame]:
     """Merge landed items (JSON text in ``item``) into the raw table and move the watermark.
 
-    ``items`` may also carry ``page`` and ``position`` (arrival order within the batch) and, for detail entities,
+    ``items`` may also carry ``page`` or ``source_file`` and ``position`` (arrival order within the batch; a place on
+    the page alone is no order if pages differ) and, for detail entities,
     the parent's key under the child's column name and ``parent_changed_at``. Returns the row count and the rejected items.
     """
     entity = ENTITIES[name]
@@ -123,7 +135,7 @@ def load_entity(
         rows = rows.withColumn(
             "numero_item", line_number(F.col("position"), *[f"_n{i}" for i in range(len(given))])
         )
-    rows = with_generated_ids(rows, entity)
+    rows = with_generated_ids(rows, entity, now)
 
     has_changed = "data_alteracao" in rows.columns
     own = F.col("data_alteracao") if has_changed else F.lit(None).cast("timestamp")
@@ -140,6 +152,8 @@ def load_entity(
     rejected = stored.where(F.col("_problem").isNotNull()).drop("_taken")
 
     if entity.load == "children" and entity.parent_key:
+        batch = latest_delivery(batch, entity.parent_key, [c for c in by if c != "position"])
+        batch = latest_by(batch, list(entity.keys), by)
         replace_children_table(spark, table, batch.drop(*extra), entity.parent_key)
     else:
         upsert_table(spark, table, batch, entity.keys, by, entity.insert_only, now)
@@ -152,6 +166,16 @@ def load_entity(
     return count, rejected
 
 
+def latest_delivery(children: DataFrame, parent: str, order: list[str]) -> DataFrame:
+    """Of a parent whose list came more than once, the children of the last delivery."""
+    if not order:
+        return children
+    last = children.groupBy(F.col(parent).alias("_parent")).agg(F.max(F.struct(*order)).alias("_last"))
+    return children.join(
+        last, F.col(parent).eqNullSafe(F.col("_parent")) & F.struct(*order).eqNullSafe(F.col("_last")), "left_semi"
+    )
+
+
 def table_columns(entity: Entity) -> dict[str, str]:
     single = entity.options.get("singleton")
     return {single: "int", **entity.columns} if single else entity.columns

@@ -31,10 +31,12 @@ def build_session(app: str = "ledgerlake", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's ``spark.checkpoint.dir``.
 
-    Only a session that names no such folder (tests, local mode) gets a temporary one.
+    Only a local session that names no such folder gets a temporary one; on a cluster executors would not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local") or "cluster" in spark.conf.get("spark.master"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerlake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"

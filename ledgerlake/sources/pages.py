@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Where an envelope keeps its items, and where it announces their number.
-ITEM_KEYS = ("itens", "items", "dados", "data")
+ITEM_KEYS = ("itens", "items", "dados", "data", "produtos")
 TOTAL_KEYS = ("itens_totais", "totalItems", "total_itens", "total")
 
 

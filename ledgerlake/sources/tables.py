@@ -19,8 +19,6 @@ from ledgerlake.operators.upsert import delete_insert, replace_children, upsert
 LAYERS = ("raw", "staging", "curated", "delivery")
 BUCKET = "key_bucket"
 PROPERTY = "ledgerlake.bucket"
-# About as many keys as fit Spark's default broadcast limit of 10 MB.
-SMALL_BATCH_ROWS = 200_000
 
 
 def database(tenant: str, layer: str) -> str:
@@ -88,16 +86,15 @@ def merge_table(
     table: str,
     batch: DataFrame,
     merge: Callable[[DataFrame, DataFrame], DataFrame],
-    rebalance: bool | None = None,
+    rebalance: bool = True,
 ) -> int:
     """Apply a merge to the buckets the batch touches; returns how many were rewritten.
 
     Batch rows are counted per bucket first; the result is bounded by the number of buckets. It prunes
     the read to these partitions, and the write replaces the same partitions only.
 
-    A small batch joins by broadcast: target rows stay in the order of their files and need no shuffle
-    at all. A large one is joined by a shuffle that scatters buckets, so its result is rebalanced by
-    bucket to keep files few and even. ``rebalance`` overrides that choice.
+    The result is rebalanced by bucket, whatever join Spark chose, so files stay few and even; adaptive execution
+    merges small and splits large buckets. ``rebalance=False`` saves that shuffle.
     """
     _add_columns(spark, table, batch)
     slot = bucket_of(*bucketing(spark, table))
@@ -105,8 +102,6 @@ def merge_table(
     if not counts:
         return 0
     touched = [r[0] for r in counts]
-    if rebalance is None:
-        rebalance = sum(r[1] for r in counts) > SMALL_BATCH_ROWS
     current = _current(spark, table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
     merged = merge(current, batch).withColumn(BUCKET, slot).select(*spark.table(table).columns)
     _overwrite_buckets(merged, table, rebalance)

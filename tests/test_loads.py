@@ -11,6 +11,7 @@ from ledgerlake.operators.watermark import get_watermark
 from ledgerlake.plans import loads
 from ledgerlake.plans.registry import MODELS
 from ledgerlake.sources.entities import ENTITIES
+from ledgerlake.sources.pages import read_pages, unwrap_pages
 from ledgerlake.sources.tables import read, ref, source, table_name
 
 NOW = datetime(2024, 6, 1, 12, 0, 0)
@@ -187,3 +188,43 @@ def test_unusable_items_are_set_aside_or_stop_the_load(spark, tenant):
     assert sorted(r["_problem"] for r in rejected.collect()) == ["malformed id", "missing id"]
     with pytest.raises(Exception, match="unusable item"):
         loads.load_entity(spark, tenant, "vendas", items(spark, data), NOW, mode="fail", buckets=2)
+
+
+def test_later_page_wins_over_place_on_the_page(spark, tenant, tmp_path):
+    pages_dir = tmp_path / "landed"
+    pages_dir.mkdir()
+    new, old = record("contas_a_receber", 1, descricao="new"), record("contas_a_receber", 1, descricao="old")
+    (pages_dir / "page-1.json").write_text(json.dumps({"itens": [record("contas_a_receber", 2), old]}))
+    (pages_dir / "page-2.json").write_text(json.dumps({"itens": [new]}))
+    found = unwrap_pages(read_pages(spark, str(pages_dir)))
+    loads.load_entity(spark, tenant, "contas_a_receber", found, NOW, buckets=2)
+    rows = {r["id"]: r["descricao"] for r in source(spark, tenant, "contas_a_receber").collect()}
+    assert len(rows) == 2 and rows[new["id"]] == "new"
+
+
+def test_children_delivered_twice_count_once(spark, tenant):
+    sale = uid(7, 2)
+    both = [("p1", "a", 1.0), ("p1", "b", 2.0), ("p2", "a", 3.0)]
+    rows = [(json.dumps({"codigo": c, "quantidade": q}), k % 2, p, sale) for k, (p, c, q) in enumerate(both)]
+    df = spark.createDataFrame(rows, "item string, position int, page string, venda_id string")
+    loads.load_entity(spark, tenant, "vendas_itens", df, NOW, buckets=2)
+    assert [float(r["quantidade"]) for r in source(spark, tenant, "vendas_itens").collect()] == [3.0]
+
+
+def test_daily_balances_are_keyed_by_account_and_day(spark, tenant):
+    def day(now, amount):
+        data = [{"conta_financeira_id": uid(33, 1), "saldo_atual": amount}]
+        loads.load_entity(spark, tenant, "saldo_atual", items(spark, data), now, buckets=2)
+
+    day(datetime(2024, 5, 10, 8), 1)
+    day(datetime(2024, 5, 10, 20), 2)
+    day(datetime(2024, 5, 11, 8), 3)
+    rows = source(spark, tenant, "saldo_atual").orderBy("snapshot_date").collect()
+    assert [(str(r["snapshot_date"]), int(r["saldo_atual"])) for r in rows] == [("2024-05-10", 2), ("2024-05-11", 3)]
+
+
+def test_rows_without_a_change_time_are_not_lost(spark, tenant):
+    loads.load_entity(spark, tenant, "vendas", items(spark, [record("vendas", 1)]), NOW, buckets=2)
+    later = [record("vendas", 2, data_alteracao=None)]
+    count, rejected = loads.load_entity(spark, tenant, "vendas", items(spark, later), NOW, buckets=2)
+    assert count == 1 and rejected.count() == 0

@@ -121,6 +121,27 @@ def test_scan_ids_fails_loudly_when_nested_too_deep(spark):
         changes.scan_ids(df, "raw", max_depth=2).collect()
 
 
+def test_scan_ids_has_no_depth_of_its_own(spark):
+    deep: object = {"id_cobranca": "x", "t": 'a "{[" in a text'}
+    for _ in range(12):
+        deep = {"a": [deep]}
+    df = spark.createDataFrame([(json.dumps(deep),), ('{"id_cobranca": "y"}',), (None,)], "raw string")
+    assert {r["id"] for r in changes.scan_ids(df, "raw").collect()} == {"x", "y"}
+    assert changes.scan_ids(df.limit(0), "raw").count() == 0
+
+
+def test_with_parent_keeps_orphans(spark):
+    child = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    parent = spark.createDataFrame([(1, "p")], "k int, w string")
+    assert sorted(tuple(r) for r in changes.with_parent(child, parent, ["k"], ["w"]).collect()) == [(1, "a", "p"), (2, "b", None)]
+
+
+def test_upsert_without_order_has_one_row_per_key(spark):
+    target = spark.createDataFrame([(1, "old")], "k int, v string")
+    batch = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "k int, v string")
+    assert sorted(tuple(r) for r in upsert(target, batch, ["k"]).collect()) == [(1, "y"), (2, "z")]
+
+
 def test_global_row_number(spark):
     df = spark.range(1000).selectExpr("id", "id * 7919 % 1000 as v")
     got = ranking.global_row_number(df, [F.col("v").desc()], "seq", partitions=5)
@@ -173,11 +194,12 @@ def test_checks_take_one_aggregate_pass(spark):
     }
 
 
-def test_run_log_cuts_errors_and_counts_writes(spark):
+def test_run_log_keeps_errors_and_counts_writes(spark):
     task = ("r1", "load", 2, "failed", datetime(2024, 1, 1), datetime(2024, 1, 2), 1, 2, 3, "e" * 5000)
     schema = "run_id string, task_id string, map_index int, status string, started_at timestamp, finished_at timestamp, rows_inserted bigint, rows_updated bigint, rows_deleted bigint, error string"
     row = runlog.task_log(spark.createDataFrame([task], schema)).first()
-    assert row["external_run_id"] == "r1::load[2]" and len(row["error_message"]) == 4000
+    assert row["external_run_id"] == "r1::load[2]" and len(row["error_message"]) == 5000
+    assert len(runlog.task_log(spark.createDataFrame([task], schema), 4000).first()["error_message"]) == 4000
     df, seen = runlog.counted(spark.range(17), "written")
     df.write.format("noop").mode("overwrite").save()
     assert seen.get["rows"] == 17

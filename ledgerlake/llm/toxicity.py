@@ -32,7 +32,7 @@ LEXICONS: dict[str, list[str]] = {
               "erbärmlich", "minable", "inútil", "patético", "patética", "perdedor", "lamentable"],
     "filth": ["scum", "trash", "garbage", "filth", "filthy", "vermin", "abschaum", "dreck", "ungeziefer", "ordure",
               "racaille", "vermine", "escoria", "basura"],
-    "disgust": ["disgusting", "revolting", "repulsive", "vile", "ekelhaft", "widerlich", "dégoûtant", "répugnant",
+    "disgust": ["disgusting", "revolting", "repulsive", "ekelhaft", "widerlich", "dégoûtant", "répugnant",
                 "asqueroso", "asquerosa", "repugnante"],
     "mockery": ["clown", "clowns", "freak", "creep", "coward", "pig", "witzfigur", "feigling", "bouffon", "lâche",
                 "payaso", "cobarde"],

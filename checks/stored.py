@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.mapping import load, raw_cte, raw_table
+from checks.mapping import load, raw_cte, raw_table, uid
 from checks.models import AS_OF, ORACLE as MODEL_ORACLE, Query, plain
 from checks.operations import ITEM_JSON, ORACLE as OPERATION_ORACLE
 from ledgerlake.functions.time import instant
@@ -30,7 +30,7 @@ def _tenant(spark: SparkSession) -> str:
 def q_load_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed items parsed, checked, merged into the raw table; unusable ones are set aside."""
     tenant = _tenant(spark)
-    items = load(spark, sf_dir, "orders", spread=True).selectExpr(f"{ITEM_JSON} as item", "o_orderkey as position")
+    items = load(spark, sf_dir, "orders").selectExpr(f"{ITEM_JSON} as item", "o_orderkey as position")
     loads.load_entity(spark, tenant, "vendas", items, AS_OF, buckets=8)
     return plain(
         tables.source(spark, tenant, "vendas").select(
@@ -41,6 +41,60 @@ def q_load_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sale(total: str) -> str:
+    """A sale of an order as JSON, with the given total."""
+    return (
+        f"concat('{{\"id\":\"', {uid('1a000000', 'o_orderkey')}, '\",\"numero\":', cast(o_orderkey as string), "
+        f"',\"total\":', cast({total} as string), ',\"data\":\"', cast(cast(o_orderdate as date) as string), '\"}}')"
+    )
+
+
+def q_load_pages_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each sale on three pages; the last page counts, wherever on its page a record stands."""
+    tenant = _tenant(spark)
+    orders = load(spark, sf_dir, "orders")
+    pages = [
+        orders.selectExpr(f"{_sale(f'o_orderkey + {page}')} as item", f"'page-{page}' as source_file", f"{9 - page} as position")
+        for page in (1, 2, 3)
+    ]
+    loads.load_entity(spark, tenant, "vendas", pages[2].unionByName(pages[0]).unionByName(pages[1]), AS_OF, buckets=8)
+    return plain(tables.source(spark, tenant, "vendas").select("id", "numero", "total"))
+
+
+def q_load_no_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of one id without any order: one row per id, of the greatest values."""
+    tenant = _tenant(spark)
+    orders = load(spark, sf_dir, "orders")
+    twice = orders.selectExpr(f"{_sale('o_orderkey')} as item").union(orders.selectExpr(f"{_sale('o_orderkey + 3')} as item"))
+    loads.load_entity(spark, tenant, "vendas", twice, AS_OF, buckets=8)
+    return plain(tables.source(spark, tenant, "vendas").select("id", "numero", "total"))
+
+
+def q_load_children_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each order delivered on two pages: those of the second page stay, once each."""
+    tenant = _tenant(spark)
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    item = "concat('{\"codigo\":\"', cast(l_linenumber as string), '\",\"quantidade\":', cast(l_linenumber + 100 * page as string), '}')"
+    both = [
+        lines.where(f"{page} = 1 or l_linenumber < 5")
+        .withColumn("page", F.lit(page))
+        .selectExpr(f"{item} as item", "page", "l_linenumber as position", f"{uid('1a000000', 'l_orderkey')} as venda_id")
+        for page in (1, 2)
+    ]
+    loads.load_entity(spark, tenant, "vendas_itens", both[1].unionByName(both[0]), AS_OF, buckets=8)
+    return plain(tables.source(spark, tenant, "vendas_itens").select("venda_id", "codigo", "quantidade"))
+
+
+def q_load_saldo_atual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances of two runs on one day and one on the next: a row per account and day, the later run of a day counts."""
+    tenant = _tenant(spark)
+    account = uid("33000000", "c_custkey")
+    for now, amount in ((datetime(1998, 5, 31, 8), 1), (datetime(1998, 5, 31, 20), 2), (datetime(1998, 6, 1, 8), 3)):
+        item = f"concat('{{\"conta_financeira_id\":\"', {account}, '\",\"saldo_atual\":', cast(c_custkey * {amount} as string), '}}')"
+        loads.load_entity(spark, tenant, "saldo_atual", load(spark, sf_dir, "customer").selectExpr(f"{item} as item"), now, buckets=8)
+    return plain(tables.source(spark, tenant, "saldo_atual").select("conta_financeira_id", "saldo_atual", "snapshot_date"))
+
+
 def q_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored table of titles; a second batch changes amounts and creation times, which must not change."""
     tenant = _tenant(spark)
@@ -78,13 +132,29 @@ def q_incremental_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(tables.ref(spark, mart))
 
 
+_SALES = f"""select {uid('1a000000', 'o_orderkey')} as id, o_orderkey as numero, cast(o_orderkey + 3 as decimal(18,4)) as total
+from orders"""
 QUERIES: dict[str, Query] = {
     "load_sales": q_load_sales,
+    "load_pages_latest": q_load_pages_latest,
+    "load_no_order": q_load_no_order,
+    "load_children_repeated": q_load_children_repeated,
+    "load_saldo_atual": q_load_saldo_atual,
     "table_upsert": q_table_upsert,
     "incremental_model": q_incremental_model,
 }
 ORACLE: dict[str, str] = {
     "load_sales": OPERATION_ORACLE["parse_items"],
+    "load_pages_latest": _SALES,
+    "load_no_order": _SALES,
+    "load_children_repeated": f"""with lines as (select distinct l_orderkey, l_linenumber from lineitem),
+late as (select distinct l_orderkey from lines where l_linenumber < 5)
+select {uid('1a000000', 'l_orderkey')} as venda_id, cast(l_linenumber as string) as codigo,
+       cast(l_linenumber + case when l_linenumber < 5 then 200 else 100 end as decimal(18,4)) as quantidade
+from lines where l_linenumber < 5 or l_orderkey not in (select l_orderkey from late)""",
+    "load_saldo_atual": f"""select {uid('33000000', 'c_custkey')} as conta_financeira_id,
+       cast(c_custkey * n as decimal(18,4)) as saldo_atual, date '1998-05-30' + cast(n - 1 as int) as snapshot_date
+from customer, (values (2), (3)) as runs(n)""",
     "table_upsert": f"""with {raw_cte('contas_a_receber')}
 select id, status, cast(case when status = 'PENDING' then total + 1 else total end as decimal(18,4)) as total, data_criacao,
        case when status = 'PENDING' then timestamp '1998-06-01 00:00:00' else timestamp '1998-05-31 00:00:00' end as loaded_at

@@ -718,9 +718,7 @@ def q_trigger_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check(
-    "tenant_union",
-    f"""with {raw_cte('contas_a_receber')}, tenant_rows as (
+TENANT_DAYS = f"""with {raw_cte('contas_a_receber')}, tenant_rows as (
     select r.*, concat('t', o.o_custkey % 5) as tenant from raw_contas_a_receber r
     join (select {uid('10000000', 'o_orderkey')} as oid, o_custkey from orders) o on o.oid = r.id)
 select r.tenant, cast(r.data_competencia as date) as dia, cast(count(*) as int) as qtd,
@@ -728,8 +726,10 @@ select r.tenant, cast(r.data_competencia as date) as dia, cast(count(*) as int)
        cast(sum(r.nao_pago) as decimal(14,2)) as em_aberto
 from tenant_rows r where r.data_competencia is not null
   and not coalesce(upper(nullif(trim(r.status), '')) = 'CANCELED', false)
-group by 1, 2""",
-)
+group by 1, 2"""
+
+
+@check("tenant_union", TENANT_DAYS)
 def q_tenant_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five tenants, each with its own source tables, one mart."""
     titles = curated(spark, sf_dir, "fct_contas_a_receber").withColumn(
@@ -739,6 +739,14 @@ def q_tenant_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(tenants.for_tenants(marts.fin_receita_diaria, sources))
 
 
+@check("tenant_rollup", TENANT_DAYS)
+def q_tenant_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five tenants in one table: one scan and one aggregation for all."""
+    number = (F.substring("cliente_nome", 10, 9).cast("bigint") % 5).cast("string")
+    titles = curated(spark, sf_dir, "fct_contas_a_receber").withColumn("tenant", F.concat(F.lit("t"), number))
+    return plain(marts.fin_receita_diaria(titles, by=["tenant"]))
+
+
 @check(
     "global_rank",
     "select o_orderkey, o_totalprice, row_number() over (order by o_totalprice desc, o_orderkey) as seq from orders",

@@ -39,9 +39,12 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns replace the stored turns of their conversation; other stored ones stay."""
-    shape = load(spark, sf_dir, "conversations").schema
-    columns = {f.name: f.dataType.simpleString() for f in shape.fields}
+    """Conversation turns replace the stored turns of their conversation; other stored ones stay.
+
+    A conversation lands as one record, the records in several files, and each file is a micro-batch.
+    """
+    turns = load(spark, sf_dir, "conversations")
+    columns = {f.name: f.dataType.simpleString() for f in turns.schema.fields}
     table, progress = _table(spark, "turns", columns, ["conv_id"])
     stored = load(spark, sf_dir, "conversations").select(
         (F.col("conv_id") + F.when(F.col("turn") % 2 == 0, 0).otherwise(1000000)).alias("conv_id"),
@@ -50,8 +53,14 @@ def q_stream_children(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("old").alias("text"),
     )
     tables.replace_children_table(spark, table, stored, "conv_id")
-    stream = stream_files(spark, f"{sf_dir}/conversations*.parquet", shape, "parquet")
-    stream_children(stream, table, "conv_id", progress).awaitTermination()
+    landed = shared_dir(spark, "conversations")
+    rest = F.struct(*[c for c in turns.columns if c != "conv_id"])
+    records = turns.groupBy("conv_id").agg(F.collect_list(rest).alias("turns"))
+    records.repartition(3).write.parquet(landed)
+    stream = stream_files(spark, landed, records.schema, "parquet", files_per_batch=1)
+    stream_children(
+        stream, table, "conv_id", progress, lambda rows: rows.select("conv_id", F.inline("turns")).select(*columns)
+    ).awaitTermination()
     return tables.read(spark, table)
 
 

@@ -47,6 +47,7 @@ from ledgerlake.sources.tables import (
 )
 
 SOURCE = "erp"
+OUTSIDE = "outside the load window"
 
 
 def ensure_raw(spark: SparkSession, tenant: str, entity: Entity, root: str | None = None, buckets: int = 16) -> str:
@@ -59,10 +60,13 @@ def ensure_raw(spark: SparkSession, tenant: str, entity: Entity, root: str | Non
 
 
 def ensure_state(spark: SparkSession, tenant: str, root: str | None = None) -> str:
+    """The table of watermarks. A mark is a partition of its own: loads that run at once do not touch one another's."""
     ensure_database(spark, tenant, "raw", root)
     table = table_name(tenant, "raw", "etl_watermarks")
-    columns = dict(c.strip().split(" ", 1) for c in WATERMARK_SCHEMA.split(","))
-    ensure_table(spark, table, columns, WATERMARK_KEYS, 1)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({WATERMARK_SCHEMA}) USING parquet "
+        f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({', '.join(WATERMARK_KEYS)})"
+    )
     return table
 
 
@@ -118,7 +122,8 @@ def load_entity(
 
     ``items`` may also carry ``page`` or ``source_file`` and ``position`` (arrival order within the batch; a place on
     the page alone is no order if pages differ) and, for detail entities,
-    the parent's key under the child's column name and ``parent_changed_at``. Returns the row count and the rejected items.
+    the parent's key under the child's column name and ``parent_changed_at``. Returns the row count and the items not
+    loaded, each with its ``_problem``: rejected ones and those outside the window that the run takes.
     """
     entity = ENTITIES[name]
     table = ensure_raw(spark, tenant, entity, root, buckets)
@@ -144,7 +149,9 @@ def load_entity(
     by = [c for c in order if c in rows.columns]
     extra = [c for c in by if c not in table_columns(entity)]
     columns = [c for c in table_columns(entity) if c in rows.columns]
-    taken = F.col("_problem").isNull() & in_scope(entity, now, mark)
+    outside = F.when(~in_scope(entity, now, mark), F.lit(OUTSIDE))
+    rows = rows.withColumn("_problem", F.coalesce("_problem", outside))
+    taken = F.col("_problem").isNull()
     stored, count, high = write_once(
         rows.select(*columns, *extra, "_problem", taken.alias("_taken"), seen.alias("_seen")), name
     )
@@ -162,7 +169,7 @@ def load_entity(
         value = now.replace(microsecond=0) if entity.load == "changes" and count else high
         row = watermark_row(spark, tenant, SOURCE, name, value, count, run_id, now)
         if row is not None:
-            upsert_table(spark, state, row, WATERMARK_KEYS)
+            row.select(*spark.table(state).columns).write.insertInto(state, overwrite=True)
     return count, rejected
 
 

@@ -26,9 +26,9 @@ def _listed(text: Column) -> Column:
 
 
 def items_of(fields: Column, body: Column, shape: str = "page") -> Column:
-    """Items as JSON texts: of an envelope (first known key that is present), a bare list or one object.
+    """Items as JSON texts: of an envelope (first known key whose list is not empty), a bare list or one object.
 
-    An envelope without a known key has no items. ``shape`` is page, list or single.
+    An envelope without such a key has no items. ``shape`` is page, list or single.
     """
     if shape == "single":
         return F.array(body)
@@ -37,7 +37,8 @@ def items_of(fields: Column, body: Column, shape: str = "page") -> Column:
         return F.when(bare, _listed(body)).otherwise(F.array().cast("array<string>"))
     held: Column = F.array().cast("array<string>")
     for key in reversed(ITEM_KEYS):
-        held = F.when(F.map_contains_key(fields, key), _listed(fields[key])).otherwise(held)
+        filled = fields[key].rlike(r"^\s*\[\s*[^\s\]]")
+        held = F.when(filled, _listed(fields[key])).otherwise(held)
     return F.when(bare, _listed(body)).otherwise(held)
 
 

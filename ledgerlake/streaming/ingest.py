@@ -6,12 +6,14 @@ idempotent merge the batch jobs use, so a batch that is replayed after a failure
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlake.operators.upsert import latest_by
 from ledgerlake.sources.tables import replace_children_table, upsert_table
 
 
@@ -37,6 +39,16 @@ def run_available(
     )
 
 
+@contextmanager
+def kept(batch: DataFrame) -> Iterator[DataFrame]:
+    """The micro-batch kept while a merge reads it several times; executors spill it to disk or compute it again."""
+    rows = batch.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def stream_upsert(
     stream: DataFrame,
     table: str,
@@ -50,18 +62,30 @@ def stream_upsert(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamp = clock() if clock else None
-        upsert_table(batch.sparkSession, table, batch, keys, order, insert_only, stamp)
+        with kept(batch) as rows:
+            upsert_table(rows.sparkSession, table, rows, keys, order, insert_only, stamp)
 
     return run_available(stream, write, checkpoint, f"upsert_{table.replace('.', '_')}")
 
 
-def stream_children(stream: DataFrame, table: str, parent: str, checkpoint: str) -> StreamingQuery:
+def stream_children(
+    stream: DataFrame,
+    table: str,
+    parent: str,
+    checkpoint: str,
+    unfold: Callable[[DataFrame], DataFrame],
+    order: Sequence[str] = (),
+) -> StreamingQuery:
     """Replace the children of every parent that a micro-batch brings.
 
-    A parent's new children must arrive in one batch (they come in one record of the source).
+    The stream has one record per delivery of a parent, with its children in it; ``unfold`` makes child rows of these
+    records inside the micro-batch. A record is never cut, so the result does not depend on how files fall into
+    batches. Of a parent that comes more than once in a batch the last record in ``order`` counts, and without one the
+    greatest.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        replace_children_table(batch.sparkSession, table, batch, parent)
+        with kept(unfold(latest_by(batch, [parent], order))) as rows:
+            replace_children_table(rows.sparkSession, table, rows, parent)
 
     return run_available(stream, write, checkpoint, f"children_{table.replace('.', '_')}")

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.watermark import get_watermark
+from ledgerlake.operators.watermark import get_watermark, watermark_row
 from ledgerlake.plans import loads
 from ledgerlake.plans.registry import MODELS
 from ledgerlake.sources.entities import ENTITIES
@@ -228,3 +228,25 @@ def test_rows_without_a_change_time_are_not_lost(spark, tenant):
     later = [record("vendas", 2, data_alteracao=None)]
     count, rejected = loads.load_entity(spark, tenant, "vendas", items(spark, later), NOW, buckets=2)
     assert count == 1 and rejected.count() == 0
+
+
+def test_rows_outside_the_window_are_told(spark, tenant):
+    loads.load_entity(spark, tenant, "vendas", items(spark, [record("vendas", 1)]), NOW, buckets=2)
+    old = [record("vendas", 2, data_alteracao="2001-01-01T00:00:00")]
+    count, rest = loads.load_entity(spark, tenant, "vendas", items(spark, old), NOW, buckets=2)
+    assert count == 0 and [r["_problem"] for r in rest.collect()] == [loads.OUTSIDE]
+
+
+def test_marks_are_kept_apart(spark, tenant):
+    state = loads.ensure_state(spark, tenant)
+    for entity, value in [("a", "1"), ("b", "2"), ("a", "3")]:
+        row = watermark_row(spark, tenant, loads.SOURCE, entity, value, 1, "r", NOW, "id")
+        row.select(*spark.table(state).columns).write.insertInto(state, overwrite=True)
+    found = {e: get_watermark(read(spark, state), tenant, loads.SOURCE, e)["value"] for e in "ab"}
+    assert found == {"a": "3", "b": "2"}
+
+
+def test_first_list_that_is_not_empty_counts(spark):
+    bodies = ['{"itens": [], "produtos": [{"id": 1}]}', '{"itens": [ {"id": 2} ], "data": [{"id": 3}]}', '{"data": null}']
+    pages = spark.createDataFrame([(b,) for b in bodies], "body string")
+    assert sorted(r["item"] for r in unwrap_pages(pages).collect()) == ['{"id":1}', '{"id":2}']

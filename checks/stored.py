@@ -41,6 +41,24 @@ def q_load_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_raw_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of a raw table that got rows past the load: repeated keys without a load time, and rows without a key."""
+    tenant = _tenant(spark)
+    items = load(spark, sf_dir, "orders").selectExpr(f"{_sale('o_totalprice')} as item", "o_orderkey as position")
+    loads.load_entity(spark, tenant, "vendas", items, AS_OF, buckets=8)
+    table = tables.table_name(tenant, "raw", "vendas")
+    rows = spark.table(table)
+    number = F.col("numero").cast("bigint")
+    again = rows.where(number % 7 == 0).withColumn("loaded_at", F.lit(None).cast("timestamp"))
+    nameless = rows.where(number % 11 == 0).withColumn("id", F.lit(None).cast("string"))
+    again.unionByName(nameless).write.parquet(landed := shared_dir(spark, "past-the-load"))
+    both = tables.read(spark, table).unionByName(spark.read.parquet(landed).drop(tables.BUCKET))
+    both.write.parquet(whole := shared_dir(spark, "raw-rows"))
+    spark.sql(f"DROP TABLE {table}")
+    tables.materialize(spark.read.parquet(whole), table)
+    return plain(loads.check_raw(spark, tenant, ["vendas"])).where("check_name in ('not_null_id', 'unique_id', 'not_null_loaded_at')")
+
+
 def _sale(total: str) -> str:
     """A sale of an order as JSON, with the given total."""
     return (
@@ -140,12 +158,19 @@ QUERIES: dict[str, Query] = {
     "load_no_order": q_load_no_order,
     "load_children_repeated": q_load_children_repeated,
     "load_saldo_atual": q_load_saldo_atual,
+    "raw_checks": q_raw_checks,
     "table_upsert": q_table_upsert,
     "incremental_model": q_incremental_model,
 }
 ORACLE: dict[str, str] = {
     "load_sales": OPERATION_ORACLE["parse_items"],
     "load_pages_latest": _SALES,
+    "raw_checks": """with o as (select distinct o_orderkey as k from orders)
+select 'vendas' as table_name, c.check_name, c.column_name, 'error' as severity, c.failures,
+       case when c.failures = 0 then 'pass' else 'fail' end as status
+from (select 'not_null_id' as check_name, 'id' as column_name, count(*) filter (k % 11 = 0) as failures from o
+      union all select 'unique_id', 'id', count(*) filter (k % 7 = 0) from o
+      union all select 'not_null_loaded_at', 'loaded_at', count(*) filter (k % 7 = 0) from o) c""",
     "load_no_order": _SALES,
     "load_children_repeated": f"""with lines as (select distinct l_orderkey, l_linenumber from lineitem),
 late as (select distinct l_orderkey from lines where l_linenumber < 5)

@@ -15,6 +15,8 @@ TRIGGER_KINDS = {
     "asset_triggered": "asset",
     "dataset_triggered": "asset",
 }
+# Who is named when nobody is, by hand and on schedule.
+BY_HAND, ON_SCHEDULE = "airflow-ui", "airflow-scheduler"
 
 
 def trigger_kind(column: str) -> Column:
@@ -26,8 +28,8 @@ def trigger_kind(column: str) -> Column:
 
 def triggered_by(kind: str, who: str) -> Column:
     """Who started the run: the user (or the web page) by hand, the scheduler on schedule."""
-    return F.when(F.col(kind) == "manual", F.coalesce(F.nullif(F.col(who), F.lit("")), F.lit("airflow-ui"))).when(
-        F.col(kind) == "scheduled", F.lit("airflow-scheduler")
+    return F.when(F.col(kind) == "manual", F.coalesce(F.nullif(F.col(who), F.lit("")), F.lit(BY_HAND))).when(
+        F.col(kind) == "scheduled", F.lit(ON_SCHEDULE)
     )
 
 

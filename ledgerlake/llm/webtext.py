@@ -1,10 +1,13 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of its tags, without subtrees that are never article text (scripts, menus, forms, adverts,
-reader comments and the like, known by tag, role or class words). Every node gets its link-adjusted characters per
-tag; a node's sum of its children's densities says how much text hangs directly below it. The subtree with the
-largest sum is the article. The smallest density on its path to the body is the threshold: neighbours of the path
-that reach it belong to the article too.
+reader comments and the like, known by tag, role or class words). Class words only mark a subtree: it stays if it
+holds what the page calls its main part or article, or most of the page's text outside links. Every node gets its
+link-adjusted characters per tag; a node's sum of its children's densities says how much text hangs directly below
+it. The subtree with the largest sum is the core of the article. The smallest article, main or content element around
+the core is taken whole. Beyond it the smallest density on the path to the body, with the subtrees cut above counted
+in, is the threshold: neighbours of the path that reach it belong to the article too, and so do a first heading and
+sections beside a section.
 
 Character references are decoded; white space inside a block is one space; blocks are joined by a line feed. A null
 or empty page, and one without text, give an empty text; pages are read whole and broken markup is no error.
@@ -41,6 +44,15 @@ ASIDES = set(
     "pagination pager login signup masthead".split()
 )
 
+REPLIES = {"comment", "comments", "disqus", "reply", "replies", "respond"}
+# Words that turn a name into a property of the layout (``has-sidebar``, ``comment-enabled``).
+BEFORE, AFTER = {"has", "no", "not", "with", "without"}, {"enabled", "disabled", "open", "closed", "on", "off"}
+# Class and id names of the element that holds the article.
+CONTENT = set(
+    "content article post entry story main article-body article-content post-body post-content entry-content story-body "
+    "main-content content-body articlebody".split()
+)
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<close>/)?(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?:[!?/][^>]*+>?|[A-Za-z/][^>]*+>)|[^<]++|<",
     re.S,
@@ -49,19 +61,33 @@ ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|\b
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
 
-def _aside(tag: str, rest: str, inside: bool) -> bool:
-    """Whether a subtree is never article text; ``inside``: an article or main element is open."""
+def _aside(tag: str, rest: str, inside: bool) -> tuple[bool, set[str], bool]:
+    """Whether a subtree is never article text, its words that say so, whether it is the content's element.
+
+    ``inside``: an article or main element is open.
+    """
+    content = tag in ("article", "main")
     if tag in NEVER or tag == "header" and not inside:
-        return True
+        return True, set(), False
+    words: set[str] = set()
     if not rest.strip(" /"):
-        return False
+        return False, words, content
     for name, value, hidden in ATTRIBUTE.findall(rest):
         name, value = name.lower(), value.strip("\"'").lower()
         if hidden or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if tag not in ("body", "html", "article", "main") and (name == "role" and value in ROLES or name in ("class", "id") and ASIDES & set(re.split(r"[^a-z0-9]+", value))):
-            return True
-    return False
+            return True, words, False
+        if tag in ("body", "html"):
+            continue
+        if name == "role" and value in ROLES and tag not in ("article", "main"):
+            return True, words, False
+        content |= name == "role" and value == "main"
+        if name in ("class", "id"):
+            for one in value.split():
+                parts = [x for x in re.split(r"[^a-z0-9]+", one) if x]
+                if parts and parts[0] not in BEFORE and parts[-1] not in AFTER and tag not in ("article", "main"):
+                    words |= ASIDES.intersection(parts)
+                content |= one in CONTENT
+    return False, words, content
 
 
 class Tree:
@@ -70,7 +96,11 @@ class Tree:
     def __init__(self, page: str):
         self.parent, self.tag, self.below = [-1], ["#page"], [[]]
         self.cut: set[int] = set()
+        self.marked: dict[int, set[str]] = {}
+        self.content: set[int] = set()
         self._build(page)
+        self.direct = [sum(len(SPACES.sub("", html.unescape(x) if "&" in x else x)) for x in below if isinstance(x, str)) for below in self.below]
+        self._cut_marked()
 
     def _open(self, stack: list[int], tag: str) -> None:
         self.parent.append(stack[-1])
@@ -102,8 +132,13 @@ class Tree:
             inside = any(self.tag[k] in ("article", "main") for k in stack)
             self._open(stack, tag)
             node = len(self.tag) - 1
-            if _aside(tag, m["rest"], inside):
+            never, words, content = _aside(tag, m["rest"], inside)
+            if never:
                 self.cut.add(node)
+            elif words:
+                self.marked[node] = words
+            if content:
+                self.content.add(node)
             if tag in RAW:
                 end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 if tag in ("xmp", "noembed", "noframes"):
@@ -147,14 +182,36 @@ class Tree:
             end()
         return out
 
-    def densities(self) -> list[float]:
-        """Composite text density of every node; nodes of cut subtrees have none."""
+    def _cut_marked(self) -> None:
+        """Cuts the marked nodes that hold neither the page's main part nor most of its text outside links."""
+        if not self.marked:
+            return
+        n = len(self.tag)
+        lost, linked = [False] * n, [False] * n
+        for k in range(1, n):
+            lost[k] = lost[self.parent[k]] or k in self.cut
+            linked[k] = linked[self.parent[k]] or self.tag[k] == "a"
+        named = next((found for tag in ("main", "article") if (found := [k for k in range(n) if self.tag[k] == tag and not lost[k]])), [])
+        chars = [0 if lost[k] or linked[k] else self.direct[k] for k in range(n)]
+        held = [0] * n
+        for k in named:
+            held[k] = 1
+        for k in range(n - 1, 0, -1):
+            chars[self.parent[k]] += chars[k]
+            held[self.parent[k]] += held[k]
+        for k, words in self.marked.items():
+            most = not named and not words & REPLIES and 2 * chars[k] > chars[0]
+            if not (named and held[k] == len(named) or most):
+                self.cut.add(k)
+
+    def densities(self, uncut: bool = False) -> list[float]:
+        """Composite text density of every node; nodes of cut subtrees have none unless ``uncut``."""
         n = len(self.tag)
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         for k in range(n - 1, -1, -1):  # children come after their parents
-            if k in self.cut:
+            if k in self.cut and not uncut:
                 continue
-            chars[k] += sum(len(SPACES.sub("", html.unescape(x) if "&" in x else x)) for x in self.below[k] if isinstance(x, str))
+            chars[k] += self.direct[k]
             if self.tag[k] == "a":
                 link_chars[k] = chars[k]
                 link_tags[k] += 1

@@ -248,11 +248,41 @@ class Tree:
         path = [best]
         while path[-1] > 0 and self.tag[path[-1]] != "body":
             path.append(self.parent[path[-1]])
-        threshold = min((density[k] for k in path if density[k] > 0), default=0.0)
-        roots = [best]
+        first = next((d for d, k in enumerate(path) if k in self.content), 0)
+        path, roots = path[first:], [path[first]]
+        uncut = self.densities(uncut=True)
+        threshold = min((uncut[k] for k in path if uncut[k] > 0), default=0.0)
         for above, below in zip(path[1:], path, strict=False):
-            roots += [k for k in self.below[above] if isinstance(k, int) and k != below and k not in lost and density[k] >= threshold > 0]
-        return sorted(roots)
+            for at, k in enumerate(self.below[above]):
+                if isinstance(k, str):
+                    size = len(SPACES.sub("", html.unescape(k)))
+                    if size and size * math.log(size) >= threshold > 0:
+                        roots.append(self._wrap(above, at))
+                elif k != below and k not in lost:
+                    beside = self.tag[k] == "h1" and k < below or self.tag[k] == self.tag[below] == "section" and density[k] > 0
+                    if beside or density[k] >= threshold > 0:
+                        roots.append(k)
+        return self._in_order(roots)
+
+    def _wrap(self, above: int, at: int) -> int:
+        """A node of its own for a text piece, so that it can be a root."""
+        self.parent.append(above)
+        self.tag.append("#text")
+        self.below.append([self.below[above][at]])
+        self.below[above][at] = len(self.tag) - 1
+        return len(self.tag) - 1
+
+    def _in_order(self, roots: list[int]) -> list[int]:
+        """The roots in page order: none lies inside another."""
+        left, out, todo = set(roots), [], [0]
+        while todo and left:
+            k = todo.pop()
+            if k in left:
+                left.discard(k)
+                out.append(k)
+                continue
+            todo += reversed([x for x in self.below[k] if isinstance(x, int)])
+        return out
 
 
 def main_text(page: str | None) -> str:

@@ -19,8 +19,9 @@ found. Anchors with very many different surroundings are found in a sample, whic
 spans are dealt out by content and all count as edges, which is exact as well.
 
 Null texts are empty; strings never cross documents; texts of any length are read in blocks. A missing id sorts first.
-Rows that repeat an id share what is removed: ranges found for the id, cut to each row's text. An empty table gives no
-rows.
+Where ids repeat (missing ones too), each row gets a number of its own in the order of id and text hash, and all work
+goes by that number: a row loses only its own ranges, and of equal rows all but one lose what they share. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import stored
+from ledgerlake.operators.ranking import global_row_number
 from ledgerlake.session import shared_dir
 
 LENGTH, ANCHOR = 100, 40
@@ -285,9 +287,19 @@ def _repeated_strings(rows: DataFrame) -> DataFrame:
 
 
 def by_document(docs: DataFrame) -> DataFrame:
-    """Ids and whole texts, stored in buckets of the id, so that later joins need not move the texts again."""
+    """``id_, doc_, text_``: a number that no other row has, in the order of the ids, the id itself and the whole text.
+
+    Stored in buckets of the number, so that later joins need not move the texts again. Unique ids are their own
+    numbers.
+    """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING)).alias("id_"), F.coalesce(F.col("text"), F.lit("")).alias("text_"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_"), F.coalesce(F.col("text"), F.lit("")).alias("text_"))
+    own = F.coalesce("doc_", F.lit(MISSING))
+    if rows.groupBy(own.alias("id_")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        rows = rows.select(own.alias("id_"), "doc_", "text_")
+    else:
+        placed = rows.select("doc_", "text_", F.xxhash64("text_").alias("hash_"), F.monotonically_increasing_id().alias("row_"))
+        rows = global_row_number(placed, ["doc_", "hash_", "row_"], "id_").select("id_", "doc_", "text_")
     name, buckets = f"texts_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows.repartition(buckets, "id_").write.format("parquet").bucketBy(buckets, "id_").option("compression", "zstd").option("path", shared_dir(spark, "texts")).saveAsTable(name)
     made = spark.table(name)
@@ -328,7 +340,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = ANCHOR, wi
     texts = by_document(docs)
     ranges = repeated_ranges(texts, length, gram)
     lists = ranges.groupBy("id_").agg(F.collect_list(F.struct("start", "strings")).alias("ranges"))
-    both = texts.join(lists, "id_", "left").select("id_", F.encode("text_", "UTF-8").alias("b"), F.col("ranges.start").alias("s"), F.col("ranges.strings").alias("n"))
+    both = texts.join(lists, "id_", "left").select("doc_", F.encode("text_", "UTF-8").alias("b"), F.col("ranges.start").alias("s"), F.col("ranges.strings").alias("n"))
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,8 +349,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = ANCHOR, wi
             for i, b, s, n in zip(*batch.columns, strict=True):
                 text, starts = b.as_buffer().to_pybytes(), np.array(s.as_py() or [], np.int64)
                 kept, gone, runs = remove_ranges(text, starts, starts + np.array(n.as_py() or [], np.int64) + length - 1)
-                i = i.as_py()
-                for column, x in zip(out, (None if i == MISSING else i, len(text), gone, runs, hashlib.sha256(kept).hexdigest(), kept), strict=True):
+                for column, x in zip(out, (i.as_py(), len(text), gone, runs, hashlib.sha256(kept).hexdigest(), kept), strict=True):
                     column.append(x)
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]

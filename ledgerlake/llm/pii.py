@@ -16,6 +16,7 @@ import hashlib
 import math
 import random
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -138,7 +139,7 @@ def span_features(zone: Zone, a: int, b: int) -> list[str]:
     if 12 <= n <= 19 and not letters:
         out.append("luhn" if luhn(digits) else "no-luhn")
     if letters and "@" not in s:
-        out.append("hex" if HEX.fullmatch(s) else "run" if n > 3 and RUN.fullmatch(s) else "letters")
+        out.append("hex" if HEX.fullmatch(s) else "run" if n and RUN.fullmatch(s) else "letters")
     out += [f"sep{c}" for c in " .-(/:" if c in s]
     if before in "\"'" and before and after == before:
         out.append("quoted")
@@ -150,7 +151,8 @@ def candidates(zone: Zone) -> tuple[int, list[tuple[int, int, int, int]]]:
     """Number of tokens, and spans ``first token, token after, start, end``.
 
     A span starts and ends with a token that is no white space, has at most ``MAX_TOKENS`` tokens, and holds an
-    ``@``, a long run of letters and digits, or at least four digits: what any kind needs.
+    ``@``, or at least four digits (nine in a single token), or is a run of 16 or more letters and digits, also
+    with ``_`` or ``-`` between them, one of them a digit: what any kind needs.
     """
     tokens = [(m.start(), m.end()) for m in TOKEN.finditer(zone.text)]
     blank = [zone.text[a:b].isspace() for a, b in tokens]
@@ -164,7 +166,8 @@ def candidates(zone: Zone) -> tuple[int, list[tuple[int, int, int, int]]]:
             if blank[j - 1] or ats[j] - ats[i] > 1 or count[j] - count[i] > 40 and j > i + 1:
                 continue
             end = tokens[j - 1][1]
-            if ats[j] > ats[i] or count[j] - count[i] >= 4 and (j - i > 1 or count[j] - count[i] >= 9):
+            many = count[j] - count[i] >= 4 and (j - i > 1 or count[j] - count[i] >= 9)
+            if ats[j] > ats[i] or many or count[j] > count[i] and end - a >= 16 and RUN.fullmatch(zone.text, a, end):
                 found.append((i, j, a, end))
     return len(tokens), found
 
@@ -233,9 +236,13 @@ def _log_sum(values: list[float]) -> float:
     return top + math.log(sum(math.exp(v - top) for v in values))
 
 
+# Letters and digits of base-62, base-32 and hex keys.
+ALPHABETS = [string.ascii_letters + string.digits, string.ascii_uppercase + "234567", string.digits + "abcdef"]
+
+
 def _examples(rows: list[tuple[str, frozenset[str]]], seed: int = 7) -> list[tuple[Zone, dict[tuple[int, int], str]]]:
     """Zones with their labelled spans: as the base patterns see them, and rewritten."""
-    rng, made = random.Random(seed), []
+    rng, keys, made = random.Random(seed), random.Random(seed + 1), []
     digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
 
     def add(text: str, hints: frozenset[str], spans: dict[tuple[int, int], str]) -> None:
@@ -270,6 +277,13 @@ def _examples(rows: list[tuple[str, frozenset[str]]], seed: int = 7) -> list[tup
         if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
             add(f'"{value}"', frozenset({rng.choice(["token", "key", "secret"])}), {(1, 1 + len(value)): "secret"})
             add(value, none, {})
+        alphabet = keys.choice(ALPHABETS)
+        value = "".join(keys.choice(alphabet) for _ in range(keys.choice([16, 20, 24, 32, 40])))
+        for key in (value, keys.choice(["sk_live_", "ghp_", "sk-", "AKIA", "xoxb-"]) + value):
+            if any(c.isdigit() for c in key):
+                add(f'"{key}"', frozenset({keys.choice(["token", "key", "secret"])}), {(1, 1 + len(key)): "secret"})
+                add(key, frozenset({keys.choice(["token", "key", "secret"])}), {(0, len(key)): "secret"})
+                add(key, none, {})
         for nothing in (digits(rng.randint(4, 11)), f"{digits(1)}.{digits(1)}.{digits(2)}", f"20{digits(2)}-0{rng.randint(1, 9)}-1{digits(1)}",
                         f"{digits(3)}.{digits(2)}.{rng.randint(256, 999)}.{digits(2)}", f"{digits(4)} {digits(4)}", f"{digits(3)},{digits(3)}.{digits(2)}"):
             add(nothing, none, {})

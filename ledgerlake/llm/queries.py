@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import exact, langid, packing, pieces, pii, quality, simhash, suffixes, toxicity, webtext
+from ledgerlake.llm import collocations, exact, interpolation, langid, packing, pieces, pii, quality, simhash, suffixes, toxicity, trie, webtext
 from ledgerlake.llm.common import held_out, table
 
 
@@ -60,6 +60,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+def op11_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score(interpolation.fit(table(spark, sf_dir, "documents")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,7 +80,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_simhash, op3_suffixes, op4_webtext, op5_exact, op6_quality, op7_packing, op8_pieces, op9_language, op10_pii, pipeline)
+    for f in (
+        op1_toxicity, op2_simhash, op3_suffixes, op4_webtext, op5_exact, op6_quality, op7_packing, op8_pieces, op9_language, op10_pii,
+        op11_interpolation, op12_collocations, op13_trie, pipeline,
+    )
 }
 
 ORACLE = {

@@ -5,7 +5,8 @@ contiguous n-gram of 2 to 5 numbered words is packed into a whole number and per
 leading bits (quotient) name the slot range, the other bits (remainder) are kept whole, so counters are lossless and compact:
 sorted remainders in small steps beside their counts. Each shard makes a sorted filter of its own; the filters
 of one quotient range are merged, whatever shard they come from. Words, and phrases that reach the threshold, are turned
-back by the inverse permutation.
+back by the inverse permutation. Pairs are merged first; each shard learns which of its pairs reach the threshold, and
+counts longer phrases only where all their pairs do.
 
 Scores use exact whole numbers: products in decimals of 38 digits, floors by whole division. A null text is empty, a null
 language is ``und``. Rows may repeat and lack ids: every row counts. Further columns are not read. An empty table gives an
@@ -109,14 +110,29 @@ def _width(widths: tuple[int, int]) -> int:
     return sum(widths) if sum(widths) <= 63 else widths[0]
 
 
-def filters(numbers: np.ndarray, n: int, b: int, bits: int, base: dict) -> Iterator[dict]:
-    """The sorted filter of one shard for n-grams of ``n``; number 0 parts what no phrase may cross."""
+def pair_keys(numbers: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of numbered words, and their permuted keys; number 0 parts what no phrase may cross."""
+    at = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
+    widths = halves(2, b)
+    return at, _key(*permute(*pack([numbers[at], numbers[at + 1]], b), widths), widths)[0]
+
+
+def filters(numbers: np.ndarray, n: int, b: int, bits: int, base: dict, frequent: np.ndarray | None = None) -> Iterator[dict]:
+    """The sorted filter of one shard for n-grams of ``n``.
+
+    ``frequent`` tells for each token whether the pair that begins there reaches the threshold: a longer phrase with
+    another pair in it cannot reach it, and is not counted.
+    """
     if len(numbers) < n:
         return
-    whole = numbers[: len(numbers) - n + 1] > 0
-    for k in range(1, n):
-        whole &= numbers[k : len(numbers) - n + 1 + k] > 0
-    at = np.flatnonzero(whole)
+    if n == 2:
+        at, _ = pair_keys(numbers, b)
+    else:
+        pairs = (numbers[:-1] > 0) & (numbers[1:] > 0) if frequent is None else frequent
+        whole = pairs[: len(numbers) - n + 1].copy()
+        for k in range(1, n - 1):
+            whole &= pairs[k : len(numbers) - n + 1 + k]
+        at = np.flatnonzero(whole)
     if not len(at):
         return
     widths = halves(n, b)
@@ -155,6 +171,8 @@ _ANSWER_ARROW = pa.schema([
     ("word", pa.string()), ("rank", pa.int64()), ("count", pa.int64()),
 ])
 _PHRASE_ARROW = pa.schema([("grp", pa.string()), ("ids", pa.list_(pa.int32())), ("a", pa.int64())])
+_PAIRS = "grp string, ids array<int>, a long, shard long, slice int, n_hits int, hits binary"
+_PAIR_ARROW = pa.schema([*_PHRASE_ARROW, ("shard", pa.int64()), ("slice", pa.int32()), ("n_hits", pa.int32()), ("hits", pa.binary())])
 
 
 def count_phrases(
@@ -205,30 +223,74 @@ def count_phrases(
     b = max(2, int(most).bit_length())
     numbered = stored(words.join(offsets, ["grp", "slice"]).select("grp", (F.col("offset") + F.col("rank")).cast("int").alias("id"), "word", "count"), "phrase-numbers")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    def numbers_of(row: dict) -> np.ndarray:
+        ids = np.zeros(row["n_words"], np.uint64)
+        for a in row["answers"]:
+            ids[np.cumsum(ngrams.widen(a["extra"], a["n"]).astype(np.int64))] = ngrams.widen(a["ranks"], a["n"]) + np.uint64(a["offset"])
+        return ids[ngrams.widen(row["tokens"], row["n_tokens"]).astype(np.int64)]
+
+    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for row in ngrams.rows_of(batches):
+            yield from filters(numbers_of(row), 2, b, bits, {"grp": row["grp"], "shard": row["shard"], "kind": 0})
+
+    def merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = _width(halves(2, b))
+        for (grp, _, k), rows in ngrams.slices_of(batches):
+            rows = list(rows)  # one slice: a bounded part of all pairs
+            for *ids, counts in merged(iter(rows), 2, b, bits, least):
+                yield _listed(grp, ids, counts, _PAIR_ARROW)
+                enough = np.sort(_key(*permute(*pack([i.astype(np.uint64) for i in ids], b), halves(2, b)), halves(2, b))[0])
+            found = []
+            for row in rows:
+                keys, _ = ngrams.keys_of(row, width, min(bits, width))
+                hit = np.isin(keys, enough, assume_unique=True)
+                if hit.any():
+                    found.append({"shard": row["shard"], "slice": k, "n_hits": int(hit.sum()), "hits": ngrams.squeeze(np.diff(np.flatnonzero(hit), prepend=0))})
+            if found:
+                yield pa.RecordBatch.from_pylist(found, _PAIR_ARROW)
+
+    def count_longer(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        """Phrases of three words and more, where every pair in them is frequent."""
         for row in ngrams.rows_of(batches):
-            ids = np.zeros(row["n_words"], np.uint64)
-            for a in row["answers"]:
-                ids[np.cumsum(ngrams.widen(a["extra"], a["n"]).astype(np.int64))] = ngrams.widen(a["ranks"], a["n"]) + np.uint64(a["offset"])
-            numbers = ids[ngrams.widen(row["tokens"], row["n_tokens"]).astype(np.int64)]
-            for n in range(2, longest + 1):
-                yield from filters(numbers, n, b, bits, {"grp": row["grp"], "shard": row["shard"], "kind": 0})
+            numbers = numbers_of(row)
+            at, keys = pair_keys(numbers, b)
+            known, _, _ = ngrams.distinct(keys)
+            width = _width(halves(2, b))
+            own_bits = min(bits, width)
+            starts = np.searchsorted(known >> np.uint64(width - own_bits), np.arange(1 << own_bits, dtype=np.uint64))
+            good = np.zeros(len(known) + 1, bool)
+            for h in row["hits"]:
+                places = np.cumsum(ngrams.widen(h["hits"], h["n_hits"]).astype(np.int64))
+                good[starts[h["slice"]] + places] = True
+            frequent = np.zeros(max(len(numbers) - 1, 0), bool)
+            frequent[at] = good[np.searchsorted(known, keys)]
+            for n in range(3, longest + 1):
+                yield from filters(numbers, n, b, bits, {"grp": row["grp"], "shard": row["shard"], "kind": 0}, frequent)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (grp, n, _), rows in ngrams.slices_of(batches):
             for *ids, counts in merged(rows, n, b, bits, least):
-                listed = np.column_stack(ids).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * n), pa.array(listed.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array([grp] * len(counts), pa.string()), lists, pa.array(counts)], schema=_PHRASE_ARROW)
+                yield _listed(grp, ids, counts, _PHRASE_ARROW)
+
+    def asked(run, shards_: DataFrame) -> DataFrame:
+        return ngrams.by_slice(shards_.mapInArrow(lambda b_: ngrams.batches_of(run(b_), ngrams.REQUEST_ARROW), ngrams.REQUEST_SCHEMA))
 
     given = answers.where("shard is not null").join(offsets.select("grp", "slice", "offset"), ["grp", "slice"])
     held = given.groupBy("shard").agg(F.collect_list(F.struct("n", "extra", "ranks", "offset")).alias("answers"))
-    asked = shards.select("shard", "grp", "n_tokens", "n_words", "tokens").join(held, "shard")
-    found = ngrams.by_slice(asked.mapInArrow(lambda b_: ngrams.batches_of(count(b_), ngrams.REQUEST_ARROW), ngrams.REQUEST_SCHEMA))
-    phrases = found.mapInArrow(merge, "grp string, ids array<int>, a long")
+    known_words = shards.select("shard", "grp", "n_tokens", "n_words", "tokens").join(held, "shard")
+    pairs = stored(asked(count_pairs, known_words).mapInArrow(merge_pairs, _PAIRS), "phrase-pairs")
+    hits = pairs.where("shard is not null").groupBy("shard").agg(F.collect_list(F.struct("slice", "n_hits", "hits")).alias("hits"))
+    longer = asked(count_longer, known_words.join(hits, "shard")).mapInArrow(merge, "grp string, ids array<int>, a long")
     single = numbered.select("grp", F.array("id").alias("ids"), F.col("count").alias("a"))
-    totals = stored(_word_totals(shards), "phrase-totals")
-    return totals, numbered, stored(phrases.unionByName(single), "phrases")
+    phrases = longer.unionByName(pairs.where("shard is null").select("grp", "ids", "a")).unionByName(single)
+    return stored(_word_totals(shards), "phrase-totals"), numbered, stored(phrases, "phrases")
+
+
+def _listed(grp: str, ids: list[np.ndarray], counts: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+    """Phrases as rows; columns that only answers have are null."""
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * len(ids)), pa.array(np.column_stack(ids).astype(np.int32).ravel()))
+    columns = {"grp": pa.array([grp] * len(counts), pa.string()), "ids": lists, "a": pa.array(counts)}
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(counts), f.type)) for f in schema], schema=schema)
 
 
 def _word_totals(shards: DataFrame) -> DataFrame:

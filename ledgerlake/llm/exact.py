@@ -13,7 +13,7 @@ stays are all marked as kept. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import SPACE, stored
@@ -83,3 +83,21 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY, deepest: int = DEEPE
         keys.join(index, ["key", "text_sha256"])
         .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     )
+
+
+def first_of_groups(docs: DataFrame) -> DataFrame:
+    """One row of each group of equal texts, with all its columns: one that ``exact_groups`` keeps, and of rows that repeat its
+    id and text the least in the other columns.
+
+    Rows are found again by id and text, so an id on two different texts does no harm.
+    """
+    sha, at = "text_sha256", "place_"
+    while sha in docs.columns or at in docs.columns:
+        sha, at = f"{sha}_", f"{at}_"
+    marked = docs.withColumn(sha, F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256))
+    staying = exact_groups(docs).where("kept").select("doc_id", "text_sha256").distinct()
+    same = F.col("m.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")) & (F.col(f"m.{sha}") == F.col("k.text_sha256"))
+    kept = marked.alias("m").join(staying.alias("k"), same, "left_semi")
+    ordered = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    least = Window.partitionBy(sha).orderBy(*ordered)
+    return kept.withColumn(at, F.row_number().over(least)).where(F.col(at) == 1).select(docs.columns)

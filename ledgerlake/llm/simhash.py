@@ -21,8 +21,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.llm.common import stored, whole_texts
 
@@ -208,7 +209,7 @@ def links(prints: DataFrame, budget: int = 4, chunk: int = CHUNK) -> DataFrame:
     return tries.mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node, root``: each linked node with the smallest node (as signed longs) of its connected component.
 
     Alternates two steps until nothing changes: each node points its larger neighbours, then its smaller ones, to its
@@ -216,7 +217,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     pairs = stored(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u <> v").distinct(), "links")
     last = None
-    for _ in range(rounds):
+    while True:  # each round lowers pointers, so there is a last one
         both = pairs.union(pairs.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = stored(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m")), "large-star")
         large = both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))
@@ -233,14 +234,42 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     )
 
 
-def near_groups(docs: DataFrame, shingle: int = 4, budget: int = 4, key: str = "doc_id") -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row; the component's name is its smallest id."""
-    prints = stored(fingerprints(docs, shingle, key), "fingerprints")
+def _classes(prints: DataFrame, budget: int, key: str) -> DataFrame:
+    """``fp, root, component_id`` of every distinct fingerprint; ``root`` is the class's least fingerprint."""
     classes = stored(prints.groupBy("fp").agg(F.min(key).alias("first")), "classes")
     roots = components(links(classes, budget))
     named = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "first"
     )
     smallest = stored(named.groupBy("root").agg(F.min("first").alias("component_id")), "components")
-    names = stored(named.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "names")
+    return stored(named.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id"), "names")
+
+
+def near_groups(docs: DataFrame, shingle: int = 4, budget: int = 4, key: str = "doc_id") -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every row; the component's name is its smallest id."""
+    prints = stored(fingerprints(docs, shingle, key), "fingerprints")
+    names = _classes(prints, budget, key)
     return prints.join(names, "fp").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def first_of_groups(docs: DataFrame, shingle: int = 4, budget: int = 4, key: str = "doc_id") -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest id (a missing id is smaller than all; then by text).
+
+    Rows are told apart by their class, never by their id, so an id on two different texts does no harm.
+    """
+    columns, mark = docs.columns, "fp"
+    place = columns.index("text")
+    while mark in columns or f"{mark}root" in columns:
+        mark += "_"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = np.array([fingerprint(t or "", shingle) for t in batch.column(place).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.int64())], names=[*columns, mark])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())])
+    marked = stored(docs.mapInArrow(run, schema), "fingerprinted")
+    names = _classes(marked.select(F.col(key).cast("long").alias(key), F.col(mark).alias("fp")), budget, key)
+    both = marked.join(names.select(F.col("fp").alias(mark), F.struct("root").alias(f"{mark}root")), mark)
+    first = Window.partitionBy(f"{mark}root").orderBy(F.col(key).asc_nulls_first(), "text")
+    return both.withColumn(mark, F.row_number().over(first)).where(F.col(mark) == 1).select(columns)

@@ -1,16 +1,19 @@
 """A training corpus from raw documents: toxic rows out, copies out, personal data masked, sequences packed.
 
 Each stage takes ``(spark, docs, sf_dir)``, works on all its predecessor kept, and is written and read again before
-the next one. All but the last return the columns of ``docs``. Near duplicates are texts whose sets of five-word shingles
-have a Jaccard similarity of 0.8 or more.
+the next one. All but the last return the columns of ``docs``. Near duplicates are texts whose fingerprints of four-word
+shingles are linked by steps of at most 4 of 64 bits.
+
+A null text is an empty one, and stays null where it stays. Rows are told apart by id and text: a repeated id does no harm, and of rows that
+repeat both one stays. Where several rows could stay, the smallest id does, a missing one first of all. Columns beside ``doc_id`` and
+``text`` are carried along, whatever their names. An empty table gives empty results.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerlake.llm import exact, jaccard, packing, pii, toxicity
+from ledgerlake.llm import exact, packing, pii, simhash, toxicity
 from ledgerlake.llm.common import stored, table
 from ledgerlake.llm.queries import tokenizer_file
 
@@ -22,13 +25,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id."""
-    return _only(docs, exact.exact_groups(docs).where("kept").select("doc_id"))
+    return exact.first_of_groups(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates the row with the smallest id."""
-    groups = jaccard.near_groups(docs, shingle=5, threshold=0.8)
-    return _only(docs, groups.where("doc_id <=> component_id").select("doc_id"))
+    return simhash.first_of_groups(docs, shingle=4, budget=4)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +43,6 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is listed; a missing id matches a missing id."""
-    kept = ids.distinct().withColumnRenamed("doc_id", "kept_id_")
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id_")), "left_semi")
-
-
 STAGES = [
     ("toxicity", toxicity_stage),
     ("exact dedup", exact_stage),

@@ -47,12 +47,12 @@ def q_raw_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = load(spark, sf_dir, "orders").selectExpr(f"{_sale('o_totalprice')} as item", "o_orderkey as position")
     loads.load_entity(spark, tenant, "vendas", items, AS_OF, buckets=8)
     table = tables.table_name(tenant, "raw", "vendas")
-    rows = spark.table(table)
+    rows = tables.read(spark, table)
     number = F.col("numero").cast("bigint")
     again = rows.where(number % 7 == 0).withColumn("loaded_at", F.lit(None).cast("timestamp"))
     nameless = rows.where(number % 11 == 0).withColumn("id", F.lit(None).cast("string"))
     again.unionByName(nameless).write.parquet(landed := shared_dir(spark, "past-the-load"))
-    both = tables.read(spark, table).unionByName(spark.read.parquet(landed).drop(tables.BUCKET))
+    both = tables.read(spark, table).unionByName(spark.read.parquet(landed))
     both.write.parquet(whole := shared_dir(spark, "raw-rows"))
     spark.sql(f"DROP TABLE {table}")
     tables.materialize(spark.read.parquet(whole), table)

@@ -6,10 +6,14 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.time import instant
+from ledgerlake.session import shared_dir
+
+#: Levels of a record that one round of the id scan unfolds.
+LEVELS = 12
 
 
 def changed_keys(
@@ -60,36 +64,24 @@ def with_parent(
     return joined.withColumns(out).drop(*[f"_parent_{c}" for c in columns])
 
 
-def nesting(text: Column) -> Column:
-    """How many objects and lists lie within one another in a JSON text."""
-    outside = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', "")
-    brackets = F.split(F.regexp_replace(outside, r"[^\[\]{}]", ""), "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-
-    def step(at: Column, mark: Column) -> Column:
-        now = at["now"] + F.when(mark.isin("{", "["), 1).when(mark.isin("}", "]"), -1).otherwise(0)
-        return F.struct(now.alias("now"), F.greatest(at["most"], now).alias("most"))
-
-    return F.aggregate(brackets, start, step, lambda at: at["most"])
-
-
 def scan_ids(
     df: DataFrame,
     json_column: str,
     single: str = "cobranca",
     many: str = "cobrancas",
     direct: str = "id_cobranca",
+    levels: int = LEVELS,
     max_depth: int | None = None,
 ) -> DataFrame:
     """Distinct ids that JSON records name at any depth.
 
     A hit is ``single: {id}``, every ``{id}`` in a list under ``many``, or a value under ``direct``;
-    hits are not searched further, everything else is. Each record is parsed once to a VARIANT and
-    unfolded level by level: a row is one value still to be searched or one id found. The table is
-    scanned once, without a shuffle until the ids are made distinct. As many levels are
-    unfolded as the deepest record has, which one pass over the text finds out; with ``max_depth`` that pass is
-    saved, and a record nested deeper raises.
+    hits are not searched further, everything else is. Each record is parsed once to a VARIANT. What is still to be
+    searched is a frontier: a round unfolds it by ``levels`` levels and stores the ids found and the next frontier, until that is empty. So
+    the plan of a round is the same however deep a record is, and a deep record costs rounds over itself alone. Ids are
+    shuffled once, to make them distinct. With ``max_depth``, a record nested deeper raises.
     """
+    spark = df.sparkSession
     row = "struct<found:string,key:string,value:variant>"
     none, no_value = F.lit(None).cast("string"), F.lit(None).cast("variant")
 
@@ -118,12 +110,24 @@ def scan_ids(
             )
         )
     )
-    level = df.where(F.col(json_column).isNotNull()).select(
+    frontier = df.where(F.col(json_column).isNotNull()).select(
         none.alias("found"), none.alias("key"), F.parse_json(json_column).alias("value")
     )
-    if max_depth is None:
-        max_depth = df.agg(F.max(nesting(F.col(json_column)))).first()[0] or 0
-    for _ in range(max_depth + 2):
-        level = level.select(F.inline(following))
-    too_deep = F.raise_error(F.lit(f"record nested deeper than {max_depth} levels")).cast("string")
-    return level.select(F.coalesce("found", too_deep).alias("id")).distinct()
+    paths: list[str] = []
+    depth = 0
+    while True:
+        step = levels if max_depth is None else max(1, min(levels, max_depth + 2 - depth))
+        depth += step
+        for _ in range(step):
+            frontier = frontier.select(F.inline(following))
+        # a row without an id and without a value was no hit
+        left = frontier.where("found is not null or value is not null")
+        seen = Observation()
+        paths.append(shared_dir(spark, "id-scan"))
+        left.observe(seen, F.count_if(F.col("found").isNull()).alias("open")).write.parquet(paths[-1])
+        if not seen.get["open"]:
+            break
+        if max_depth is not None and depth >= max_depth + 2:
+            raise ValueError(f"record nested deeper than {max_depth} levels")
+        frontier = spark.read.schema(left.schema).parquet(paths[-1]).where("found is null")
+    return spark.read.schema("found string").parquet(*paths).where("found is not null").select(F.col("found").alias("id")).distinct()

@@ -25,7 +25,6 @@ from ledgerlake.operators.watermark import (
     WATERMARK_SCHEMA,
     get_watermark,
     in_window,
-    incremental_slice,
     watermark_row,
     window_bounds,
 )
@@ -35,8 +34,10 @@ from ledgerlake.session import shared_dir
 from ledgerlake.sources.entities import ENTITIES, Entity
 from ledgerlake.sources.parse import parse_entity, split_valid
 from ledgerlake.sources.tables import (
+    changed_after,
     ensure_database,
     ensure_table,
+    last_change,
     materialize,
     read,
     ref,
@@ -48,14 +49,17 @@ from ledgerlake.sources.tables import (
 
 SOURCE = "erp"
 OUTSIDE = "outside the load window"
+#: Source name of the marks that models keep of their raw tables.
+MODEL_MARKS = "models"
 
 
 def ensure_raw(spark: SparkSession, tenant: str, entity: Entity, root: str | None = None, buckets: int = 16) -> str:
-    """The entity's raw table, created if missing. Child tables are bucketed by their parent."""
+    """The entity's raw table, created if missing. Child tables are keyed by their parent, each child by its own id too."""
     ensure_database(spark, tenant, "raw", root)
     table = table_name(tenant, "raw", entity.name)
     replaced = entity.load == "children" and entity.parent_key
-    ensure_table(spark, table, table_columns(entity), [entity.parent_key] if replaced else list(entity.keys), buckets)
+    own = list(entity.keys) if replaced else []
+    ensure_table(spark, table, table_columns(entity), [entity.parent_key] if replaced else list(entity.keys), unique=own)
     return table
 
 
@@ -117,13 +121,15 @@ def load_entity(
     mode: str = "quarantine",
     order: Iterable[str] = ("page", "source_file", "position"),
     buckets: int = 16,
+    replay: tuple[str, int] | None = None,
 ) -> tuple[int, DataFrame]:
     """Merge landed items (JSON text in ``item``) into the raw table and move the watermark.
 
     ``items`` may also carry ``page`` or ``source_file`` and ``position`` (arrival order within the batch; a place on
     the page alone is no order if pages differ) and, for detail entities,
     the parent's key under the child's column name and ``parent_changed_at``. Returns the row count and the items not
-    loaded, each with its ``_problem``: rejected ones and those outside the window that the run takes.
+    loaded, each with its ``_problem``: rejected ones and those outside the window that the run takes. ``replay`` names a
+    stream and its micro-batch, which is merged once however often it comes.
     """
     entity = ENTITIES[name]
     table = ensure_raw(spark, tenant, entity, root, buckets)
@@ -161,9 +167,9 @@ def load_entity(
     if entity.load == "children" and entity.parent_key:
         batch = latest_delivery(batch, entity.parent_key, [c for c in by if c != "position"])
         batch = latest_by(batch, list(entity.keys), by)
-        replace_children_table(spark, table, batch.drop(*extra), entity.parent_key)
+        replace_children_table(spark, table, batch.drop(*extra), entity.parent_key, replay)
     else:
-        upsert_table(spark, table, batch, entity.keys, by, entity.insert_only, now)
+        upsert_table(spark, table, batch, entity.keys, by, entity.insert_only, now, replay)
 
     if entity.watermarked:
         value = now.replace(microsecond=0) if entity.load == "changes" and count else high
@@ -210,15 +216,25 @@ def write_once(rows: DataFrame, name: str) -> tuple[DataFrame, int, str | None]:
 def build_model(
     spark: SparkSession, tenant: str, model: Model, as_of: datetime, full_refresh: bool = False, buckets: int = 16
 ) -> int | None:
-    """Build and store one model; returns the rows of a fully written table, else None."""
+    """Build and store one model; returns the rows of a fully written table, else None.
+
+    An incremental model reads what was written to its raw tables after the write it saw last; that number is kept as a mark
+    beside the loads' marks once the model is stored, so a build that fails is simply repeated.
+    """
     table = table_name(tenant, model.layer, model.name)
-    frames = []
+    frames, marks = [], {}
+    partly = model.mode == "incremental" and not full_refresh and spark.catalog.tableExists(table)
+    state = ensure_state(spark, tenant) if model.mode == "incremental" else None
     for name in model.inputs:
         if name.startswith("raw:"):
-            raw = source(spark, tenant, name[4:])
-            if model.mode == "incremental" and not full_refresh and spark.catalog.tableExists(table):
-                raw = incremental_slice(raw, read(spark, table))
-            frames.append(raw)
+            raw = table_name(tenant, "raw", name[4:])
+            if state is None:
+                frames.append(read(spark, raw))
+                continue
+            entity = f"{model.name}<{name[4:]}"
+            marks[entity] = last_change(spark, raw)  # before the read: what lands while a build runs is left for the next one
+            seen = get_watermark(read(spark, state), tenant, MODEL_MARKS, entity) if partly else None
+            frames.append(changed_after(spark, raw, int(seen["value"])) if seen else read(spark, raw))
         else:
             frames.append(ref(spark, table_name(tenant, MODELS[name].layer, name)))
     df = model.build(*frames, as_of) if model.dated else model.build(*frames)
@@ -228,7 +244,10 @@ def build_model(
     if model.mode == "incremental" and full_refresh:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     if model.mode == "incremental":
-        materialize(df, table, "incremental", key=model.key, buckets=buckets)
+        materialize(df, table, "incremental", key=model.key)
+        for entity, number in marks.items():
+            row = watermark_row(spark, tenant, MODEL_MARKS, entity, str(number), 0, None, as_of, "id")
+            row.select(*spark.table(state).columns).write.insertInto(state, overwrite=True)
         return None
     observed, seen = counted(df, f"{table}_{uuid.uuid4().hex[:8]}")
     materialize(observed, table, model.mode, drop_first=model.drop_first)

@@ -485,6 +485,9 @@ _ENTITIES = [
             "generated_id": "invoice_item",
             "numbers": ("numero_item", "numero"),
             "parent_wins": ("nota_fiscal_id",),
+            "parent_id": "chave_acesso",
+            "parent_columns": {"nota_fiscal_id": "id"},
+            "item_keys": ("itens", "produtos"),
         },
     ),
     Entity(

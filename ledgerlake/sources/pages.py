@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Where an envelope keeps its items, and where it announces their number.
-ITEM_KEYS = ("itens", "items", "dados", "data", "produtos")
+ITEM_KEYS = ("itens", "items", "dados", "data")
 TOTAL_KEYS = ("itens_totais", "totalItems", "total_itens", "total")
 
 
@@ -25,20 +25,22 @@ def _listed(text: Column) -> Column:
     return F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))
 
 
-def items_of(fields: Column, body: Column, shape: str = "page") -> Column:
-    """Items as JSON texts: of an envelope (first known key whose list is not empty), a bare list or one object.
+def items_of(fields: Column, body: Column, shape: str = "page", filled: tuple[str, ...] = ()) -> Column:
+    """Items as JSON texts: of an envelope, a bare list or one object.
 
-    An envelope without such a key has no items. ``shape`` is page, list or single.
+    Of an envelope the first known key that is present counts, and a null there is no items; an envelope without
+    such a key has none. ``filled`` names the keys of an endpoint whose first list that is not empty counts instead.
+    ``shape`` is page, list or single.
     """
     if shape == "single":
         return F.array(body)
-    bare = F.ltrim(body).startswith("[")
+    bare, none = F.ltrim(body).startswith("["), F.array().cast("array<string>")
     if shape == "list":
-        return F.when(bare, _listed(body)).otherwise(F.array().cast("array<string>"))
-    held: Column = F.array().cast("array<string>")
-    for key in reversed(ITEM_KEYS):
-        filled = fields[key].rlike(r"^\s*\[\s*[^\s\]]")
-        held = F.when(filled, _listed(fields[key])).otherwise(held)
+        return F.when(bare, _listed(body)).otherwise(none)
+    held: Column = none
+    for key in reversed(filled or ITEM_KEYS):
+        here = fields[key].rlike(r"^\s*\[\s*[^\s\]]") if filled else F.map_contains_key(fields, key)
+        held = F.when(here, _listed(fields[key])).otherwise(held)
     return F.when(bare, _listed(body)).otherwise(held)
 
 
@@ -48,22 +50,47 @@ def announced_total(fields: Column) -> Column:
     return F.coalesce(*[fields[k] for k in TOTAL_KEYS], nested).try_cast("bigint")
 
 
-def open_pages(pages: DataFrame, shape: str = "page") -> DataFrame:
+def open_pages(pages: DataFrame, shape: str = "page", filled: tuple[str, ...] = ()) -> DataFrame:
     """Add ``items`` (array of JSON texts) and ``announced`` to pages with a ``body``."""
     is_object = ~F.ltrim(F.col("body")).startswith("[")
     # The generator keeps the parsed fields a column of their own, so the page is parsed once.
     parsed = pages.select("*", F.explode(F.array(F.when(is_object, _fields(F.col("body"))))).alias("_fields"))
     return parsed.select(
         *pages.columns,
-        items_of(F.col("_fields"), F.col("body"), shape).alias("items"),
+        items_of(F.col("_fields"), F.col("body"), shape, filled).alias("items"),
         announced_total(F.col("_fields")).alias("announced"),
     )
 
 
-def unwrap_pages(pages: DataFrame, shape: str = "page") -> DataFrame:
+def unwrap_pages(pages: DataFrame, shape: str = "page", filled: tuple[str, ...] = ()) -> DataFrame:
     """One row per item: the page's other columns, ``position`` on the page and ``item`` as JSON text."""
     rest = [c for c in pages.columns if c != "body"]
-    return open_pages(pages, shape).select(*rest, F.posexplode("items").alias("position", "item"))
+    return open_pages(pages, shape, filled).select(*rest, F.posexplode("items").alias("position", "item"))
+
+
+def until_repeat(pages: DataFrame, by: str = "endpoint", page: str = "page", key: str = "$.id") -> DataFrame:
+    """Pages of each endpoint up to its first repeated one: an endpoint that ignores the page number gives the same items for ever.
+
+    A page's fingerprint is made of its item keys in any order. Pages without items repeat nothing. Only fingerprints are shuffled to
+    find the repeats; one number per endpoint comes back.
+    """
+    keys = F.array_sort(F.transform(F.col("items"), lambda i: F.coalesce(F.get_json_object(i, key), F.sha2(i, 256))))
+    marked = open_pages(pages).select(by, page, F.sha2(F.to_json(F.struct(keys.alias("k"))), 256).alias("_print"), F.size("items").alias("_n"))
+    firsts = marked.where("_n > 0").groupBy(by, "_print", page).count()
+    place = F.row_number().over(Window.partitionBy(by, "_print").orderBy(page))
+    stop = firsts.withColumn("_place", place).where("_place = 2").groupBy(by).agg(F.min(page).alias("_stop"))
+    return pages.join(stop, by, "left").where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).drop("_stop")
+
+
+def complete_endpoints(pages: DataFrame, by: str = "endpoint", page: str = "page") -> tuple[DataFrame, DataFrame]:
+    """Pages, cut at the first repeat, of endpoints that delivered what they announced; and the reconciliation of those that fell short.
+
+    An endpoint that announces nothing cannot fall short.
+    """
+    cut = until_repeat(pages, by, page)
+    report = reconcile_pages(cut, by, page)
+    short = report.where("status = 'short'")
+    return cut.join(short.select(by), by, "left_anti"), short
 
 
 def reconcile_pages(

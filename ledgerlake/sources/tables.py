@@ -1,24 +1,36 @@
 """Catalog tables of a tenant's layers, and the write paths into them.
 
-Keyed tables are Parquet tables partitioned by ``key_bucket`` (a hash of the key, or of the parent key
-for child tables). A merge reads and rewrites only the buckets its batch touches: Spark stages the new
-files and swaps the touched partitions when the job commits. Every merge gives the same result when it
-is run again, so a job that failed half-way is simply repeated.
+A keyed table is a base plus changes. Its folder holds one folder per committed write, ``change_batch=<number>-<name>``, with
+Parquet files by load date; numbers only grow. A write appends a folder and touches no other file, so it costs its batch
+whatever the table's size, readers never miss a file, and a write that dies before Spark's success marker does not exist.
+Reading takes the rows of each key's last write. ``compact_table`` writes the current rows as a base into a new folder and then points
+the table to it, one change of the catalog; readers of the old folder go on undisturbed.
+
+One writer per table at a time; writes are ordered by a number kept in the table's properties. Old folders are left to the
+storage's own retention.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import json
+import uuid
+import zlib
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerlake.operators.upsert import delete_insert, replace_children, upsert
+from ledgerlake.functions import assert_key
+from ledgerlake.functions.time import instant
+from ledgerlake.operators.upsert import latest_by
 
 LAYERS = ("raw", "staging", "curated", "delivery")
-BUCKET = "key_bucket"
-PROPERTY = "ledgerlake.bucket"
+PROPERTY = "ledgerlake"
+#: Of each row: the number of its write; partitions: the write's folder, and the load date.
+NUMBER, BATCH, LOADED = "_change", "change_batch", "load_date"
+BASE = "base"
 
 
 def database(tenant: str, layer: str) -> str:
@@ -37,29 +49,43 @@ def ensure_database(spark: SparkSession, tenant: str, layer: str, root: str | No
 
 
 def ensure_table(
-    spark: SparkSession, table: str, columns: Mapping[str, str], bucket_by: Sequence[str] = (), buckets: int = 16
+    spark: SparkSession, table: str, columns: Mapping[str, str], keys: Sequence[str] = (), buckets: int = 16, unique: Sequence[str] = ()
 ) -> None:
-    """Create the table if missing. Choose ``buckets`` so that one bucket is some hundred MB.
+    """Create the table if missing; with ``keys`` as a keyed table.
 
-    The bucketing is kept in the table's properties: later merges read it from there.
+    ``keys`` say which rows a write replaces (of child tables: the parent's key). ``unique`` columns name a row beside that: a
+    child that comes under another parent leaves the old one. ``buckets`` is not used any more.
     """
-    ddl = [f"`{name}` {kind}" for name, kind in columns.items()]
-    tail = ""
-    if bucket_by:
-        ddl.append(f"{BUCKET} int")
-        tail = (
-            f" OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({BUCKET}) TBLPROPERTIES "
-            f"('{PROPERTY}.keys' = '{','.join(bucket_by)}', '{PROPERTY}.count' = '{buckets}')"
-        )
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(ddl)}) USING parquet{tail}")
-
-
-def bucketing(spark: SparkSession, table: str) -> tuple[list[str], int]:
-    """The key columns and the number of buckets a keyed table was created with."""
-    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    if f"{PROPERTY}.keys" not in found:
+    ddl = ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
+    if not keys:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet")
+        return
+    if spark.catalog.tableExists(table):
+        return
+    home = spark.catalog.getDatabase(table.split(".")[0]).locationUri.rstrip("/")
+    folder = f"{home}/{table.split('.')[1]}-{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE TABLE {table} ({ddl}) USING parquet LOCATION '{folder}'")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in spark.table(table).schema.fields])
+    _set(spark, table, keys=",".join(keys), unique=",".join(unique), folder=folder, number="0", schema=schema.json())
+
+
+def _set(spark: SparkSession, table: str, **values: str) -> None:
+    """Keep values in the table's properties, as hexadecimal text: Spark hides values that look like secrets or addresses."""
+    listed = ", ".join(f"'{PROPERTY}.{k}' = '{v.encode().hex()}'" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return {r["key"][len(PROPERTY) + 1 :]: bytes.fromhex(r["value"]).decode() for r in found if r["key"].startswith(f"{PROPERTY}.")}
+
+
+def keyed(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the table was created with; raises for a table that is not keyed."""
+    found = _properties(spark, table)
+    if "keys" not in found:
         raise ValueError(f"{table} is not a keyed table")
-    return found[f"{PROPERTY}.keys"].split(","), int(found[f"{PROPERTY}.count"])
+    return found
 
 
 def source(spark: SparkSession, tenant: str, name: str) -> DataFrame:
@@ -68,53 +94,142 @@ def source(spark: SparkSession, tenant: str, name: str) -> DataFrame:
 
 
 def read(spark: SparkSession, table: str) -> DataFrame:
-    return _current(spark, table).drop(BUCKET)
-
-
-def _current(spark: SparkSession, table: str) -> DataFrame:
-    """The table as it is stored now: another session, such as a stream's, may have replaced files."""
-    spark.catalog.refreshTable(table)
-    return spark.table(table)
-
-
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def merge_table(
-    spark: SparkSession,
-    table: str,
-    batch: DataFrame,
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
-    rebalance: bool = True,
-) -> int:
-    """Apply a merge to the buckets the batch touches; returns how many were rewritten.
-
-    Batch rows are counted per bucket first; the result is bounded by the number of buckets. It prunes
-    the read to these partitions, and the write replaces the same partitions only.
-
-    The result is rebalanced by bucket, whatever join Spark chose, so files stay few and even; adaptive execution
-    merges small and splits large buckets. ``rebalance=False`` saves that shuffle.
+    """The table's current rows, as of the writes committed by now."""
+    found = _properties(spark, table)
+    if "keys" not in found:
+        spark.catalog.refreshTable(table)
+        return spark.table(table)
+    return _current(spark, found, F.lit(True)).drop(NUMBER, BATCH, LOADED)
+
+
+def changed_after(spark: SparkSession, table: str, number: int) -> DataFrame:
+    """Current rows of writes after ``number``; folders of earlier writes are pruned before anything is read."""
+    later = (F.col(BATCH) > F.lit(f"{number:020d}~")) & (F.col(NUMBER) > number)
+    return _current(spark, keyed(spark, table), later).drop(NUMBER, BATCH, LOADED)
+
+
+def last_change(spark: SparkSession, table: str) -> int:
+    """The number of the table's last committed write."""
+    found = keyed(spark, table)
+    return max([int(name.split("-")[0]) for name in committed(spark, found["folder"])], default=0)
+
+
+def committed(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the writes that carry Spark's success marker, in order."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(path):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+    done = [n for n in names if n.startswith(f"{BATCH}=") and files.exists(hadoop.Path(f"{folder}/{n}/_SUCCESS"))]
+    return sorted(n[len(BATCH) + 1 :] for n in done)
+
+
+def history(spark: SparkSession, found: Mapping[str, str]) -> tuple[DataFrame, bool]:
+    """All committed rows with write, folder and load date, and whether there are changes on top of a base."""
+    schema = T.StructType.fromJson(json.loads(found["schema"]))
+    schema = T.StructType([*schema.fields, T.StructField(NUMBER, T.LongType()), T.StructField(BATCH, T.StringType()), T.StructField(LOADED, T.DateType())])
+    names = committed(spark, found["folder"])
+    if not names:
+        return spark.createDataFrame([], schema), False
+    rows = spark.read.schema(schema).option("basePath", found["folder"]).parquet(*[f"{found['folder']}/{BATCH}={n}" for n in names])
+    return rows, any(not n.endswith(f"-{BASE}") for n in names)
+
+
+def _current(spark: SparkSession, found: Mapping[str, str], wanted: Column) -> DataFrame:
+    """Current rows among the wanted ones.
+
+    Which write of a key is the last comes from the key columns of the changes alone, so the base is neither shuffled nor
+    read for it; Spark broadcasts that list where its measured size allows it.
     """
-    _add_columns(spark, table, batch)
-    slot = bucket_of(*bucketing(spark, table))
-    counts = batch.groupBy(slot.alias(BUCKET)).count().collect()
-    if not counts:
-        return 0
-    touched = [r[0] for r in counts]
-    current = _current(spark, table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    merged = merge(current, batch).withColumn(BUCKET, slot).select(*spark.table(table).columns)
-    _overwrite_buckets(merged, table, rebalance)
-    return len(touched)
-
-
-def _overwrite_buckets(rows: DataFrame, table: str, rebalance: bool) -> None:
-    (rows.hint("rebalance", BUCKET) if rebalance else rows).write.insertInto(table, overwrite=True)
+    rows, changed = history(spark, found)
+    live = rows.where(wanted)
+    if not changed:
+        return live
+    keys, unique, kept = (found.get(k, "").split(",") if found.get(k) else [] for k in ("keys", "unique", "insert_only"))
+    changes = rows.where(~F.col(BATCH).endswith(f"-{BASE}"))
+    for k, columns in enumerate(c for c in (keys, unique) if c):
+        last = changes.groupBy(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(columns)]).agg(F.max(NUMBER).alias("_last"))
+        same = [F.col(c) == F.col(f"_key{i}") for i, c in enumerate(columns)]
+        joined = live.join(last, same, "left").where(F.coalesce("_last", NUMBER) == F.col(NUMBER))
+        live = joined.drop("_last", *[f"_key{i}" for i in range(len(columns))])
+    if kept:  # these columns keep the first value a key came with
+        firsts = [F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)]
+        known = changes.select(*keys).distinct()
+        first = rows.join(known, keys, "left_semi").groupBy(*firsts).agg(F.min_by(F.struct(*kept), NUMBER).alias("_first"))
+        joined = live.join(first, [F.col(c) == F.col(f"_key{i}") for i, c in enumerate(keys)], "left")
+        chosen = {c: F.when(F.col("_first").isNotNull(), F.col("_first")[c]).otherwise(F.col(c)) for c in kept}
+        live = joined.withColumns(chosen).select(*rows.columns)
+    return live
+
+
+def append(spark: SparkSession, table: str, rows: DataFrame, name: str = "write", replay: tuple[str, int] | None = None) -> bool:
+    """Commit rows as one write; returns False if this write is known already.
+
+    ``replay`` names a stream and its micro-batch: a micro-batch that was committed before appends nothing.
+    """
+    found = keyed(spark, table)
+    if replay:
+        name, mark = f"{replay[0]}-{replay[1]}", f"done_{zlib.crc32(replay[0].encode()):08x}"
+        if int(found.get(mark, -1)) >= replay[1] or any(n.split("-", 1)[1] == name for n in committed(spark, found["folder"])):
+            return False
+    schema = _grown(spark, table, found, rows.schema)
+    number = int(found["number"]) + 1
+    _set(spark, table, number=str(number))  # a write that fails wastes its number
+    have = set(rows.columns)
+    columns = [F.col(f.name).cast(f.dataType) if _plain(f.dataType) else F.col(f.name) for f in schema.fields if f.name in have]
+    stamp = next((c for c in ("loaded_at", "staged_at") if c in have), None)
+    day = F.col(stamp).cast("date") if stamp else F.lit(None).cast("date")
+    out = rows.select(*columns, F.lit(number).cast("long").alias(NUMBER), day.alias(LOADED))
+    out.write.mode("overwrite").partitionBy(LOADED).parquet(f"{found['folder']}/{BATCH}={number:020d}-{name}")
+    if replay:
+        _set(spark, table, **{mark: str(replay[1])})
+    return True
+
+
+def _plain(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.StructType, T.ArrayType, T.MapType, T.VariantType))
+
+
+def merged_type(old: T.DataType, new: T.DataType) -> T.DataType:
+    """The old type with the fields that only the new one has, at any depth of structs, arrays and maps."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        theirs = {f.name: f for f in new.fields}
+        kept = [T.StructField(f.name, merged_type(f.dataType, theirs[f.name].dataType) if f.name in theirs else f.dataType) for f in old.fields]
+        return T.StructType(kept + [T.StructField(f.name, f.dataType) for f in new.fields if f.name not in set(old.names)])
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(merged_type(old.elementType, new.elementType))
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return T.MapType(old.keyType, merged_type(old.valueType, new.valueType))
+    if not _plain(old) and type(old) is not type(new):
+        raise ValueError(f"a column of {old.simpleString()} cannot take {new.simpleString()}")
+    return old
+
+
+def _grown(spark: SparkSession, table: str, found: Mapping[str, str], rows: T.StructType) -> T.StructType:
+    """The table's schema with what the batch adds, at any depth; older rows read NULL there."""
+    schema = T.StructType.fromJson(json.loads(found["schema"]))
+    grown = merged_type(schema, rows)
+    if grown != schema:
+        _set(spark, table, schema=grown.json())
+        new = [f for f in grown.fields if f.name not in set(schema.names)]
+        if new:
+            listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
+    return grown
 
 
 def compact_table(spark: SparkSession, table: str) -> None:
-    """Rewrite a keyed table with few, even files per bucket; run it now and then after many small merges."""
-    _overwrite_buckets(_current(spark, table), table, True)
+    """Write the current rows as a base into a new folder, few and even files per load date, and point the table to it."""
+    found = keyed(spark, table)
+    folder = f"{found['folder'].rsplit('-', 1)[0]}-{uuid.uuid4().hex[:12]}"
+    rows = _current(spark, found, F.lit(True)).drop(BATCH)
+    last = last_change(spark, table)
+    rows.hint("rebalance", LOADED).write.partitionBy(LOADED).parquet(f"{folder}/{BATCH}={last:020d}-{BASE}")
+    # The property is what readers follow, and it changes last and at once.
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    _set(spark, table, folder=folder)
 
 
 def upsert_table(
@@ -125,30 +240,39 @@ def upsert_table(
     order: Sequence[str | Column] = (),
     insert_only: Sequence[str] = (),
     loaded_at: datetime | None = None,
-) -> int:
-    return merge_table(
-        spark, table, batch, lambda t, b: upsert(t, b, keys, order, insert_only, loaded_at)
-    )
-
+    replay: tuple[str, int] | None = None,
+) -> bool:
+    """Insert new keys and overwrite known ones; the last row of a key in the batch counts.
 
-def delete_insert_table(
-    spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str]
-) -> int:
-    return merge_table(spark, table, batch, lambda t, b: delete_insert(t, b, keys))
-
-
-def replace_children_table(spark: SparkSession, table: str, batch: DataFrame, parent: str) -> int:
-    """The table must be bucketed by the parent key, so that a parent's rows share a bucket."""
-    return merge_table(spark, table, batch, lambda t, b: replace_children(t, b, parent))
-
-
-def _add_columns(spark: SparkSession, table: str, batch: DataFrame) -> None:
-    """Columns the batch has and the table lacks are appended to the table; old rows read NULL."""
-    known = set(spark.table(table).columns)
-    new = [f for f in batch.schema.fields if f.name not in known]
-    if new:
-        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
+    ``insert_only`` columns keep the first value of a key, now and from then on. A NULL key raises.
+    """
+    rows = latest_by(batch, list(keys), order)
+    rows = rows.withColumns({k: assert_key(k, k) for k in keys})
+    if loaded_at is not None:
+        rows = rows.withColumn("loaded_at", instant(loaded_at))
+    found = keyed(spark, table)
+    known = found["insert_only"].split(",") if found.get("insert_only") else []
+    if set(insert_only) - set(known):
+        _set(spark, table, insert_only=",".join([*known, *[c for c in insert_only if c not in known]]))
+    named = set(T.StructType.fromJson(json.loads(found["schema"])).names)
+    extra = [c for c in order if isinstance(c, str) and c not in named]
+    return append(spark, table, rows.drop(*extra), "upsert", replay)
+
+
+def delete_insert_table(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str]) -> bool:
+    """Replace all rows of the batch's keys by the batch's rows."""
+    if list(keys) != keyed(spark, table)["keys"].split(","):
+        raise ValueError(f"{table} is keyed by other columns")
+    return append(spark, table, batch, "replace")
+
+
+def replace_children_table(
+    spark: SparkSession, table: str, batch: DataFrame, parent: str, replay: tuple[str, int] | None = None
+) -> bool:
+    """Replace the children of the batch's parents; the table must be keyed by the parent. A child without a parent raises."""
+    if [parent] != keyed(spark, table)["keys"].split(","):
+        raise ValueError(f"{table} is not keyed by {parent}")
+    return append(spark, table, batch.withColumn(parent, assert_key(parent, parent)), "children", replay)
 
 
 def materialize(
@@ -179,7 +303,7 @@ def materialize(
     elif mode == "incremental":
         if not key:
             raise ValueError("an incremental model needs a key")
-        ensure_table(spark, table, {f.name: f.dataType.simpleString() for f in df.schema.fields}, [key], buckets)
+        ensure_table(spark, table, {f.name: f.dataType.simpleString() for f in df.schema.fields}, [key])
         delete_insert_table(spark, table, df, [key])
     else:
         raise ValueError(f"unknown mode {mode!r}")

@@ -6,8 +6,8 @@ idempotent merge the batch jobs use, so a batch that is replayed after a failure
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+import zlib
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,14 +39,9 @@ def run_available(
     )
 
 
-@contextmanager
-def kept(batch: DataFrame) -> Iterator[DataFrame]:
-    """The micro-batch kept while a merge reads it several times; executors spill it to disk or compute it again."""
-    rows = batch.persist()
-    try:
-        yield rows
-    finally:
-        rows.unpersist()
+def stream_name(kind: str, table: str, checkpoint: str) -> str:
+    """A name of the stream's own: another checkpoint is another stream, whose micro-batches are numbered anew."""
+    return f"{kind}_{table.replace('.', '_')}_{zlib.crc32(checkpoint.encode()):08x}"
 
 
 def stream_upsert(
@@ -57,15 +52,19 @@ def stream_upsert(
     order: Sequence[str | Column] = (),
     insert_only: Sequence[str] = (),
     clock: Callable[[], datetime] | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Upsert a stream into a keyed table; ``order`` decides between rows of one key in one batch."""
+    """Upsert a stream into a keyed table; ``order`` decides between rows of one key in one batch.
+
+    Each micro-batch is one write under the stream's name and the batch's number, so a replayed one appends nothing.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamp = clock() if clock else None
-        with kept(batch) as rows:
-            upsert_table(rows.sparkSession, table, rows, keys, order, insert_only, stamp)
+        upsert_table(batch.sparkSession, table, batch, keys, order, insert_only, stamp, replay=(name, batch_id))
 
-    return run_available(stream, write, checkpoint, f"upsert_{table.replace('.', '_')}")
+    name = name or stream_name("upsert", table, checkpoint)
+    return run_available(stream, write, checkpoint, name)
 
 
 def stream_children(
@@ -75,6 +74,7 @@ def stream_children(
     checkpoint: str,
     unfold: Callable[[DataFrame], DataFrame],
     order: Sequence[str] = (),
+    name: str | None = None,
 ) -> StreamingQuery:
     """Replace the children of every parent that a micro-batch brings.
 
@@ -85,7 +85,8 @@ def stream_children(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with kept(unfold(latest_by(batch, [parent], order))) as rows:
-            replace_children_table(rows.sparkSession, table, rows, parent)
+        rows = unfold(latest_by(batch, [parent], order))
+        replace_children_table(rows.sparkSession, table, rows, parent, replay=(name, batch_id))
 
-    return run_available(stream, write, checkpoint, f"children_{table.replace('.', '_')}")
+    name = name or stream_name("children", table, checkpoint)
+    return run_available(stream, write, checkpoint, name)

@@ -222,3 +222,29 @@ def test_stream_reads_each_file_once(spark, tenant, tmp_path):
     (land / "b.json").write_text('{"id":"x","v":2}')
     assert run() == [("x", 2), ("y", 2)]
     assert run() == [("x", 2), ("y", 2)]
+
+
+def test_scan_ids_in_rounds(spark):
+    """Records of depth 900 among shallow ones; hits at every border between two rounds."""
+    def nested(depth, last):
+        return '{"a":' * depth + last + "}" * depth
+
+    records = [nested(d, '{"id_cobranca":"d%d"}' % d) for d in (0, 9, 10, 11, 12, 13, 22, 23, 24, 25, 300, 900)]
+    records += ['{"cobranca":{"id":"x"}}', '[]', "null", "7", '"text"'] * 50
+    df = spark.createDataFrame([(r,) for r in records], "raw string")
+    got = sorted(r["id"] for r in changes.scan_ids(df, "raw").collect())
+    assert got == sorted([f"d{d}" for d in (0, 9, 10, 11, 12, 13, 22, 23, 24, 25, 300, 900)] + ["x"])
+
+
+def test_pages_end_at_the_first_repeat(spark):
+    body = lambda *ids: json.dumps({"itens": [{"id": i} for i in ids], "itens_totais": 4})
+    rows = [
+        ("a", 1, body(1, 2)), ("a", 2, body(3, 4)), ("b", 1, body(1, 2)), ("b", 2, body(2, 1)), ("b", 3, body(3, 4)),
+        ("c", 1, body()), ("c", 2, body()), ("d", 1, '{"itens":[{"id":9}]}'),
+    ]
+    df = spark.createDataFrame(rows, "endpoint string, page int, body string")
+    kept = sorted((r["endpoint"], r["page"]) for r in pages.until_repeat(df).collect())
+    assert kept == [("a", 1), ("a", 2), ("b", 1), ("c", 1), ("c", 2), ("d", 1)]
+    whole, short = pages.complete_endpoints(df)
+    assert sorted({r["endpoint"] for r in whole.collect()}) == ["a", "d"]
+    assert sorted((r["endpoint"], r["missing"]) for r in short.collect()) == [("b", 2), ("c", 4)]

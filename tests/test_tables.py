@@ -1,4 +1,4 @@
-"""Keyed tables on storage: touched buckets only, idempotent reruns, schema growth."""
+"""Keyed tables on storage: appended writes, idempotent reruns, compaction, schema growth."""
 
 from datetime import datetime
 
@@ -45,19 +45,103 @@ def test_rerun_changes_nothing(spark, table):
     assert len(rows(spark, table)) == 50
 
 
-def test_only_touched_buckets_are_rewritten(spark, table):
+def files(spark, name):
+    found = tables.keyed(spark, name)
+    rows, _ = tables.history(spark, found)
+    return {r[0] for r in rows.select("_metadata.file_path").distinct().collect()}
+
+
+def test_a_write_rewrites_nothing(spark, table):
     tables.upsert_table(
         spark, table, batch(spark, [(str(i), i, "x") for i in range(200)]), ["id"], loaded_at=datetime(2024, 1, 1)
     )
-    before = {r[0] for r in spark.table(table).select("_metadata.file_path").distinct().collect()}
-    touched = tables.upsert_table(
-        spark, table, batch(spark, [("7", 700, "x")]), ["id"], loaded_at=datetime(2024, 1, 2)
+    before = files(spark, table)
+    tables.upsert_table(spark, table, batch(spark, [("7", 700, "x")]), ["id"], loaded_at=datetime(2024, 1, 2))
+    after = files(spark, table)
+    assert before < after and len(after - before) == 1
+    assert len(rows(spark, table)) == 200 and ("7", 700, "x") in rows(spark, table)
+
+
+def test_compaction_keeps_rows_and_the_readers_of_the_old_folder(spark, table):
+    for day in (1, 2, 3):
+        data = batch(spark, [(str(i), 10 * day + i, f"c{day}") for i in range(day, 20)])
+        tables.upsert_table(spark, table, data, ["id"], insert_only=["created"], loaded_at=datetime(2024, 1, day))
+    old, before = tables.read(spark, table), rows(spark, table)
+    tables.compact_table(spark, table)
+    assert rows(spark, table) == before and len(tables.committed(spark, tables.keyed(spark, table)["folder"])) == 1
+    assert sorted(tuple(r) for r in old.select("id", "v", "created").collect()) == before  # its files are still there
+    tables.upsert_table(spark, table, batch(spark, [("5", 0, "late"), ("z", 1, "new")]), ["id"], loaded_at=datetime(2024, 1, 4))
+    assert rows(spark, table) == sorted([("5", 0, "c1") if r[0] == "5" else r for r in before] + [("z", 1, "new")])
+
+
+def test_a_write_without_success_marker_does_not_exist(spark, table):
+    tables.upsert_table(spark, table, batch(spark, [("a", 1, "x")]), ["id"], loaded_at=datetime(2024, 1, 1))
+    folder = tables.keyed(spark, table)["folder"]
+    lost = batch(spark, [("a", 9, "x"), ("b", 9, "x")]).selectExpr("*", "timestamp'2024-01-02' loaded_at", "2L _change", "date'2024-01-02' load_date")
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    lost.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("load_date").parquet(f"{folder}/change_batch={2:020d}-upsert")
+    spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert rows(spark, table) == [("a", 1, "x")]
+
+
+def test_changes_after_a_mark_prune_folders(spark, table):
+    for day in (1, 2):
+        tables.upsert_table(spark, table, batch(spark, [(str(i), day, "x") for i in range(day * 3)]), ["id"], loaded_at=datetime(2024, 1, day))
+    first = tables.changed_after(spark, table, 1)
+    assert sorted(r["id"] for r in first.collect()) == [str(i) for i in range(6)]
+    tables.upsert_table(spark, table, batch(spark, [("1", 7, "x")]), ["id"], loaded_at=datetime(2024, 1, 3))
+    later = tables.changed_after(spark, table, tables.last_change(spark, table) - 1)
+    assert [(r["id"], r["v"]) for r in later.collect()] == [("1", 7)]
+    plan = later._jdf.queryExecution().executedPlan().toString()
+    pruned = [line for line in plan.splitlines() if "PartitionFilters" in line and "change_batch" in line.split("PartitionFilters")[1].split("PushedFilters")[0]]
+    assert pruned
+    tables.compact_table(spark, table)
+    assert tables.changed_after(spark, table, tables.last_change(spark, table)).count() == 0
+    assert tables.changed_after(spark, table, 2).count() == 1
+
+
+def test_replayed_micro_batch_appends_nothing(spark, table):
+    data = batch(spark, [("a", 1, "x")])
+    assert tables.upsert_table(spark, table, data, ["id"], loaded_at=datetime(2024, 1, 1), replay=("s", 4))
+    before = files(spark, table)
+    assert not tables.upsert_table(spark, table, data, ["id"], loaded_at=datetime(2024, 1, 2), replay=("s", 4))
+    tables.compact_table(spark, table)
+    assert not tables.upsert_table(spark, table, data, ["id"], loaded_at=datetime(2024, 1, 2), replay=("s", 4))
+    assert tables.upsert_table(spark, table, data, ["id"], loaded_at=datetime(2024, 1, 2), replay=("s", 5))
+    assert len(before) == 1 and rows(spark, table) == [("a", 1, "x")]
+
+
+def test_nested_fields_grow(spark, tenant):
+    tables.ensure_database(spark, tenant, "raw")
+    name = tables.table_name(tenant, "raw", "nested")
+    tables.ensure_table(spark, name, {"id": "string", "p": "struct<a:int>", "l": "array<struct<x:int>>"}, ["id"])
+    tables.upsert_table(spark, name, spark.sql("select 'a' id, named_struct('a', 1) p, array(named_struct('x', 1)) l"), ["id"])
+    tables.upsert_table(
+        spark, name, spark.sql("select 'b' id, named_struct('b', 'new', 'a', 2) p, array(named_struct('x', 2, 'y', named_struct('z', 3))) l"), ["id"]
     )
-    after = {r[0] for r in spark.table(table).select("_metadata.file_path").distinct().collect()}
-    assert touched == 1
-    changed = {f.split(tables.BUCKET + "=")[1].split("/")[0] for f in before ^ after}
-    assert len(changed) == 1
-    assert len(rows(spark, table)) == 200
+    tables.upsert_table(spark, name, spark.sql("select 'c' id, array(named_struct('x', 5)) l"), ["id"])
+    got = {r["id"]: r for r in tables.read(spark, name).collect()}
+    assert (got["a"]["p"]["a"], got["a"]["p"]["b"], got["a"]["l"][0]["y"]) == (1, None, None)
+    assert (got["b"]["p"]["a"], got["b"]["p"]["b"], got["b"]["l"][0]["y"]["z"]) == (2, "new", 3)
+    assert got["c"]["p"] is None and got["c"]["l"][0]["y"] is None
+    with pytest.raises(ValueError, match="cannot take"):
+        tables.upsert_table(spark, name, spark.sql("select 'd' id, 'text' p"), ["id"])
+
+
+def test_a_child_that_moves_leaves_its_old_parent(spark, tenant):
+    tables.ensure_database(spark, tenant, "raw")
+    name = tables.table_name(tenant, "raw", "moving")
+    tables.ensure_table(spark, name, {"p": "string", "id": "string"}, ["p"], unique=["id"])
+    kids = lambda *pairs: tables.replace_children_table(spark, name, spark.createDataFrame(pairs, "p string, id string"), "p")
+    got = lambda: sorted(tuple(r) for r in tables.read(spark, name).select("p", "id").collect())
+    kids(("a", "1"), ("a", "2"), ("b", "3"))
+    kids(("b", "2"), ("b", "3"))
+    assert got() == [("a", "1"), ("b", "2"), ("b", "3")]
+    tables.compact_table(spark, name)
+    kids(("a", "3"),)
+    assert got() == [("a", "3"), ("b", "2")]
+    kids(("a", "1"),)  # 3 left b, and is gone from a
+    assert got() == [("a", "1"), ("b", "2")]
 
 
 def test_null_key_raises(spark, table):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -263,23 +265,24 @@ select 't1' as tenant, 'erp' as source, event_type as entity,
 from per""",
 )
 def q_watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State rows of two runs over all events; the second run saw nothing of one entity."""
+    """Marks of two runs over all events, written and read as the loads do; the second run saw nothing of one entity."""
     events = load(spark, sf_dir, "events")
 
-    def state(rows: DataFrame) -> DataFrame:
-        mark = F.to_json(
-            F.struct(
-                F.lit("timestamp").alias("type"),
-                F.date_format(F.max("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("value"),
-            )
-        )
-        return rows.groupBy(F.col("event_type").alias("entity")).agg(
-            mark.alias("watermark"), F.count(F.lit(1)).alias("rows_loaded")
-        ).select(F.lit("t1").alias("tenant"), F.lit("erp").alias("source"), "entity", "watermark", "rows_loaded")
-
-    first = state(events.where(f"ts < {CUT}"))
-    second = state(events).where("entity <> 'click'")
-    return upsert(first, second, watermark.WATERMARK_KEYS)
+    def run(rows: DataFrame) -> DataFrame:
+        seen = rows.groupBy("event_type").agg(F.max("ts").alias("t"), F.count(F.lit(1)).alias("n")).collect()
+        parts = [
+            watermark.watermark_row(spark, "t1", "erp", r["event_type"], r["t"].replace(microsecond=0), r["n"], None, AS_OF) for r in seen
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    state = upsert(run(events.where(f"ts < {CUT}")), run(events.where("event_type <> 'click'")), watermark.WATERMARK_KEYS)
+    stored = spark.createDataFrame(state.collect(), watermark.WATERMARK_SCHEMA)  # a row per entity
+    marks = [
+        (r["entity"], json.dumps(watermark.get_watermark(stored, "t1", "erp", r["entity"]), separators=(",", ":")))
+        for r in stored.select("entity").collect()
+    ]
+    found = spark.createDataFrame(marks, "entity string, watermark string")
+    return stored.select("tenant", "source", "entity", "rows_loaded").join(found, "entity")
 
 
 @check(

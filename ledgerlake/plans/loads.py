@@ -140,11 +140,12 @@ def load_entity(
     rows = parse_entity(items, entity, now, keep=keep)
     if mode == "fail":
         rows = split_valid(rows, mode)[0].withColumn("_problem", F.lit(None).cast("string"))
-    if entity.options.get("numbers") and "position" in keep:
+    if entity.options.get("numbers"):  # without a place on the page only a number of its own counts
         given = [F.get_json_object("raw", f"$.{n}").alias(n) for n in entity.options["numbers"]]
+        position = F.col("position") if "position" in keep else F.lit(None).cast("int")
         rows = rows.withColumns({f"_n{i}": c for i, c in enumerate(given)})
         rows = rows.withColumn(
-            "numero_item", line_number(F.col("position"), *[f"_n{i}" for i in range(len(given))])
+            "numero_item", line_number(position, *[f"_n{i}" for i in range(len(given))])
         )
     rows = with_generated_ids(rows, entity, now)
 

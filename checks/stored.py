@@ -228,11 +228,11 @@ def q_load_baixas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_load_cobrancas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Charges that a record names, some at depth 400; charges that none names are not loaded."""
+    """Charges that a record names, some at depth 100; charges that none names are not loaded."""
     tenant = _tenant(spark)
     charge = uid("5a000000", "o_orderkey")
     inner = f"concat('{{\"cobrancas\":[{{\"id\":\"', {charge}, '\"}}]}}')"
-    deep = f"concat(repeat('{{\"a\":', 400), {inner}, repeat('}}', 400))"
+    deep = f"concat(repeat('{{\"a\":', 100), {inner}, repeat('}}', 100))"
     named = f"case when o_orderkey % 3 = 0 then {inner} when o_orderkey % 500 = 1 then {deep} else '{{}}' end"
     item = f"concat('{{\"id\":\"', {TITLE('o_orderkey')}, '\",\"x\":', {named}, '}}') as item"
     loads.load_entity(spark, tenant, "contas_a_receber", load(spark, sf_dir, "orders").selectExpr(item), LATE)
@@ -341,7 +341,7 @@ def _plain_load(name: str) -> Query:
         tenant, entity = _tenant(spark), ENTITIES[name]
         rows = raw_table(spark, sf_dir, name).drop("raw", "loaded_at")
         if entity.load == "children" and entity.parent_key:
-            rows = rows.where(F.col(entity.parent_key).isNotNull())
+            rows = rows.where(f"trim({entity.parent_key}) <> ''")
         items = rows.select(F.to_json(F.struct(*rows.columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss"}).alias("item"))
         loads.load_entity(spark, tenant, name, items, _clock(name))
         return plain(tables.source(spark, tenant, name).select(*_loaded_columns(name)))
@@ -361,7 +361,7 @@ def _plain_oracle(name: str) -> str:
     if entity.options.get("singleton"):
         return "select cast(1 as int) as pk"
     if entity.load == "children" and entity.parent_key:
-        where = f" where {entity.parent_key} is not null"
+        where = f" where trim({entity.parent_key}) <> ''"
     return f"with {raw_cte(name)} select {listed} from raw_{name}{where}"
 
 

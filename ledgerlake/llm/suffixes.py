@@ -27,18 +27,17 @@ table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import stored
 from ledgerlake.operators.ranking import global_row_number
-from ledgerlake.session import shared_dir
 
 LENGTH, ANCHOR = 100, 40
 #: Bytes hashed at once. Share of rows in which hot anchors are looked for, contexts that make one hot, most of them.
@@ -208,7 +207,8 @@ def _span_classes(docs: DataFrame, length: int, gram: int) -> DataFrame:
     # rows already found need no company, so they are dealt out by document
     salt = F.when(F.col("found") == 1, F.xxhash64("id_", "start")).when(is_hot, F.col("content")).otherwise(F.lit(0).cast("long"))
     kind = F.when(F.col("found") == 1, F.lit(0).cast("long")).otherwise(F.col("kind"))
-    dealt = rows.select(kind.alias("kind"), salt.alias("salt"), "content", "id_", "start", (F.col("strings") * 2 + F.col("found")).alias("size"))
+    content = F.when(F.col("found") == 1, F.lit(0).cast("long")).otherwise(F.col("content"))  # not looked at again, and small in the shuffle
+    dealt = rows.select(kind.alias("kind"), salt.alias("salt"), content.alias("content"), "id_", "start", (F.col("strings") * 2 + F.col("found")).alias("size"))
     dealt = dealt.repartition("kind", "salt").drop("salt").sortWithinPartitions("kind", "content", "id_", "start")
     names, heavy = ["id_", "start", "strings", "edge"], np.array(hot, np.int64)
 
@@ -233,11 +233,11 @@ def _span_classes(docs: DataFrame, length: int, gram: int) -> DataFrame:
 def _string_rows(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
     """``first, second, id_, start, found`` of the strings in edge spans."""
     lists = edges.groupBy("id_").agg(F.sort_array(F.collect_list(F.struct("start", "strings"))).alias("spans"))
-    both = docs.join(lists, "id_").select("id_", F.encode("text_", "UTF-8").alias("b"), F.col("spans.start").alias("s"), F.col("spans.strings").alias("n"))
+    both = compressed(docs).join(lists, "id_").select("id_", "b", F.col("spans.start").alias("s"), F.col("spans.strings").alias("n"))
     names = ["first", "second", "id_", "start", "found"]
 
     def strings(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-        wanted = [(i, b.as_buffer().to_pybytes(), np.array(s.as_py(), np.int64), np.array(n.as_py(), np.int64)) for i, b, s, n in zip(batch.column(0).to_pylist(), *batch.columns[1:], strict=True)]
+        wanted = [(i, zstandard.decompress(b.as_buffer()), np.array(s.as_py(), np.int64), np.array(n.as_py(), np.int64)) for i, b, s, n in zip(batch.column(0).to_pylist(), *batch.columns[1:], strict=True)]
         for data, ids, offsets, ends in blocks(((k, w[1]) for k, w in enumerate(wanted)), length):
             begin = np.append(0, ends[:-1])
             places, owner = [], []
@@ -265,8 +265,10 @@ def _string_rows(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
 
 def _repeated_strings(rows: DataFrame) -> DataFrame:
     """``id_, start, strings`` of the strings with an earlier match, neighbours joined."""
-    salt = F.when(F.col("found") == 1, F.xxhash64("id_", "start")).otherwise(F.col("first"))
-    dealt = rows.repartition(salt).sortWithinPartitions("first", "second", "id_", "start")
+    # rows already found need no company: they are dealt out by place, and their hashes are not looked at again
+    known, place = F.col("found") == 1, F.xxhash64("id_", F.shiftright("start", 16))
+    slim = rows.withColumns({"first": F.when(known, place).otherwise(F.col("first")), "second": F.when(known, F.lit(0).cast("long")).otherwise(F.col("second"))})
+    dealt = slim.repartition("first").sortWithinPartitions("first", "second", "id_", "start")
     names = ["id_", "start", "strings"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,23 +291,27 @@ def _repeated_strings(rows: DataFrame) -> DataFrame:
 def by_document(docs: DataFrame) -> DataFrame:
     """``id_, doc_, text_``: a number that no other row has, in the order of the ids, the id itself and the whole text.
 
-    Stored in buckets of the number, so that later joins need not move the texts again. Unique ids are their own
-    numbers.
+    Unique ids are their own numbers, and the texts are read where they are. Only where ids repeat rows are numbered, and then
+    stored once.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_"), F.coalesce(F.col("text"), F.lit("")).alias("text_"))
     own = F.coalesce("doc_", F.lit(MISSING))
     if rows.groupBy(own.alias("id_")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        rows = rows.select(own.alias("id_"), "doc_", "text_")
-    else:
-        placed = rows.select("doc_", "text_", F.xxhash64("text_").alias("hash_"), F.monotonically_increasing_id().alias("row_"))
-        rows = global_row_number(placed, ["doc_", "hash_", "row_"], "id_").select("id_", "doc_", "text_")
-    name, buckets = f"texts_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows.repartition(buckets, "id_").write.format("parquet").bucketBy(buckets, "id_").option("compression", "zstd").option("path", shared_dir(spark, "texts")).saveAsTable(name)
-    made = spark.table(name)
-    made.schema  # noqa: B018  resolved before its name goes; the files stay
-    spark.sql(f"DROP TABLE {name}")
-    return made
+        return rows.select(own.alias("id_"), "doc_", "text_")
+    placed = rows.select("doc_", "text_", F.xxhash64("text_").alias("hash_"), F.monotonically_increasing_id().alias("row_"))
+    return stored(global_row_number(placed, ["doc_", "hash_", "row_"], "id_").select("id_", "doc_", "text_"), "texts")
+
+
+def compressed(docs: DataFrame) -> DataFrame:
+    """``id_, doc_, b``: the text's bytes compressed, as they go through a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            packed = pa.array([pack.compress(t.as_buffer()) for t in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], names=["id_", "doc_", "b"])
+
+    return docs.select("id_", "doc_", F.encode("text_", "UTF-8").alias("b")).mapInArrow(run, "id_ long, doc_ long, b binary")
 
 
 def remove_ranges(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int, int]:
@@ -340,14 +346,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = ANCHOR, wi
     texts = by_document(docs)
     ranges = repeated_ranges(texts, length, gram)
     lists = ranges.groupBy("id_").agg(F.collect_list(F.struct("start", "strings")).alias("ranges"))
-    both = texts.join(lists, "id_", "left").select("doc_", F.encode("text_", "UTF-8").alias("b"), F.col("ranges.start").alias("s"), F.col("ranges.strings").alias("n"))
+    both = compressed(texts).join(lists, "id_", "left").select("doc_", "b", F.col("ranges.start").alias("s"), F.col("ranges.strings").alias("n"))
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
             for i, b, s, n in zip(*batch.columns, strict=True):
-                text, starts = b.as_buffer().to_pybytes(), np.array(s.as_py() or [], np.int64)
+                text, starts = zstandard.decompress(b.as_buffer()), np.array(s.as_py() or [], np.int64)
                 kept, gone, runs = remove_ranges(text, starts, starts + np.array(n.as_py() or [], np.int64) + length - 1)
                 for column, x in zip(out, (i.as_py(), len(text), gone, runs, hashlib.sha256(kept).hexdigest(), kept), strict=True):
                     column.append(x)

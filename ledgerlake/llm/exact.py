@@ -1,11 +1,15 @@
-"""Exact dedup with an extendible-hash index in shared files; column expressions only.
+"""Exact dedup through an extendible-hash index in shared files; column expressions only.
 
 Texts are equal when they agree byte for byte after each run of white space became one space. A 64-bit key of that
-text addresses a directory of ``2**depth`` slots by its leading bits. The directory starts with one slot and
-doubles as long as a bucket holds more bytes than ``capacity``; slots that share a bucket stay together. Owner
-tasks take key ranges: inside a bucket the entries are chained by key, and the aggregate compares the texts
-themselves, so two texts that share a key are two entries. Copies collapse before they are shuffled, so a text that a
-third of all rows share is one row per task.
+text addresses a directory of ``2**deepest`` slots by its leading bits. The directory starts with one slot and
+doubles as long as a bucket holds more bytes than ``capacity``; slots that share a bucket stay together. A finest slot
+that is still too full doubles its own part of the directory further, by the next bits of the key, until each of its
+buckets fits or holds a single key. A bucket is a range of keys.
+
+Each row brings its text to the task that owns the text's bucket; copies within a task collapse before that, so a text
+that a third of all rows share arrives as one row per task. The owner chains the texts of a key and compares their
+bytes: two texts that share a key are two entries. The entries are the index, written by bucket; every row finds its group
+there by bucket, key and digest.
 
 A null text equals an empty one; a null id sorts before all others; rows that repeat both id and text of the row that
 stays are all marked as kept. An empty table gives an empty result.
@@ -13,14 +17,18 @@ stays are all marked as kept. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import SPACE, stored
 
-#: Bytes of text a bucket may hold before its slot splits, and the deepest directory (2**12 slots on the driver).
-CAPACITY = 64 << 20
+#: Bytes of distinct text a bucket may hold before it splits; bits of the slots that the driver knows one by one (2**12), and
+#: bits by which one of them can double further.
+CAPACITY = 16 << 20
 DEEPEST = 12
+FURTHER = 50
 
 
 def normalised(text: Column) -> Column:
@@ -49,28 +57,67 @@ def directory(sizes: dict[int, int], capacity: int = CAPACITY, deepest: int = DE
     return slots
 
 
+def _sql(values: list[int]) -> str:
+    """The value of a row's finest slot."""
+    return f"element_at(array({','.join(map(str, values))}), slot + 1)"
+
+
+def _by_slot(values: list[int]) -> Column:
+    return F.expr(_sql(values))
+
+
+def _further(bits: list[int], deepest: int) -> Column:
+    """The bits of the key behind its slot: as many as the slot's own doublings."""
+    return F.when(_by_slot(bits) > 0, F.expr(f"shiftrightunsigned(shiftleft(key, {deepest}), 64 - {_sql(bits)})")).otherwise(F.lit(0).cast("long"))
+
+
+def doublings(once: DataFrame, sizes: dict[int, int], capacity: int = CAPACITY, deepest: int = DEEPEST) -> list[int]:
+    """Further bits of each finest slot; ``once`` has ``slot, key, n_bytes`` of the distinct keys.
+
+    Each round reads the sizes of the buckets of the slots that are still too full: one row per slot on the driver.
+    """
+    bits = [0] * (1 << deepest)
+    worst = {slot: held for slot, held in sizes.items() if held > capacity}
+    while worst:
+        for slot, held in worst.items():
+            bits[slot] = min(FURTHER, bits[slot] + max(1, math.ceil(math.log2(held / capacity))))
+        again = [slot for slot in worst if bits[slot] < FURTHER]
+        if not again:
+            break
+        buckets = (
+            once.where(_by_slot([int(k in worst) for k in range(1 << deepest)]) == 1)
+            .groupBy("slot", _further(bits, deepest).alias("sub"))
+            .agg(F.sum("n_bytes").alias("held"), (F.min("key") != F.max("key")).alias("several"))
+        )
+        full = buckets.where(F.col("several") & (F.col("held") > capacity)).groupBy("slot").agg(F.max("held").alias("held"))
+        worst = {r["slot"]: r["held"] for r in full.collect() if r["slot"] in again}
+    return bits
+
+
 def build_index(docs: DataFrame, capacity: int = CAPACITY, deepest: int = DEEPEST) -> tuple[DataFrame, DataFrame]:
-    """The stored keys of all rows, and the stored index: one entry per distinct text, in files by bucket."""
+    """The stored keys of all rows with their buckets, and the stored index: one entry per distinct text, by bucket."""
     key = F.xxhash64("norm")
     slot = F.shiftrightunsigned("key", 64 - deepest).cast("int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text")).alias("norm"))
-    keys = stored(
-        texts.select("doc_id", key.alias("key"), F.octet_length("norm").cast("long").alias("n_bytes"), F.sha2(F.encode("norm", "UTF-8"), 256).alias("text_sha256")),
-        "exact-keys",
+    sha = F.sha2(F.encode("norm", "UTF-8"), 256).alias("text_sha256")
+    keys = stored(texts.select("doc_id", key.alias("key"), F.octet_length("norm").cast("long").alias("n_bytes"), sha), "exact-keys")
+    once = keys.groupBy("key", "n_bytes").agg(F.lit(1).alias("one")).withColumn("slot", slot)
+    sizes = {r[0]: r[1] for r in once.groupBy("slot").agg(F.sum("n_bytes")).collect()}
+    slots, bits = directory(sizes, capacity, deepest), doublings(once, sizes, capacity, deepest)
+    bucket = F.shiftleft(_by_slot(slots).cast("long"), FURTHER).bitwiseOR(_further(bits, deepest)).alias("bucket")
+    collapsed = (
+        texts.select("doc_id", "norm", key.alias("key"), F.spark_partition_id().alias("task"))
+        .groupBy("task", "key", "norm")
+        .agg(F.min(F.struct("doc_id")).alias("first"), F.count(F.lit(1)).alias("n"))
     )
-    once = keys.groupBy("key", "n_bytes").agg(F.lit(1).alias("one"))
-    sizes = {r[0]: r[1] for r in once.groupBy(slot.alias("slot")).agg(F.sum("n_bytes")).collect()}
-    slots = directory(sizes, capacity, deepest)
-    bucket = F.element_at(F.array(*[F.lit(b) for b in slots]), F.col("slot") + 1)
+    owned = collapsed.withColumn("slot", slot).select("key", "norm", "first", "n", bucket).repartition("bucket")
     entries = (
-        texts.withColumn("key", key)
-        .groupBy("key", "norm")
-        .agg(F.min(F.struct("doc_id")).alias("first"), F.count(F.lit(1)).alias("group_size"))
-        .select("key", F.sha2(F.encode("norm", "UTF-8"), 256).alias("text_sha256"), F.col("first.doc_id").alias("keep_id"), "group_size", slot.alias("slot"))
-        .select("key", "text_sha256", "keep_id", "group_size", bucket.alias("bucket"))
-        .repartition("bucket")
+        owned.groupBy("bucket", "key", "norm")  # no further shuffle: the owner has all texts of its buckets
+        .agg(F.min("first").alias("first"), F.sum("n").alias("group_size"))
+        .select("bucket", "key", sha, F.col("first.doc_id").alias("keep_id"), "group_size")
+        .sortWithinPartitions("bucket", "key")
     )
-    return keys, stored(entries, "exact-index", ["bucket"])
+    return keys.withColumn("slot", slot).select("doc_id", "key", "text_sha256", bucket), stored(entries, "exact-index")
 
 
 def exact_groups(docs: DataFrame, capacity: int = CAPACITY, deepest: int = DEEPEST) -> DataFrame:
@@ -80,7 +127,7 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY, deepest: int = DEEPE
     """
     keys, index = build_index(docs, capacity, deepest)
     return (
-        keys.join(index, ["key", "text_sha256"])
+        keys.join(index, ["bucket", "key", "text_sha256"])
         .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     )
 

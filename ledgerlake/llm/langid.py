@@ -3,7 +3,7 @@
 Each language has a raw-content zstandard dictionary made of slices of its learning rows, in lower case. A text is cut into blocks
 that are compressed with every dictionary; the language with the smallest sum wins. Blocks keep the dictionary in
 reach however long the text is, and the whole text counts. A narrow margin between the two smallest sums marks the
-row as rejected (column ``confident``); its best guess is still given.
+row as rejected (column ``confident``); its best guess is still given. Digits in other forms (``²``, ``Ⅷ``) are no letters.
 
 A null text and one without a letter are ``und`` with score 0. Ties go to the language with more learning rows, then
 by name. With no learning rows everything is ``und``. Repeated rows get the same answer.
@@ -11,13 +11,13 @@ by name. With no learning rows everything is ``und``. Repeated rows get the same
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,11 +26,13 @@ from ledgerlake.llm.common import held_out, thinned
 
 #: Learning rows per language (lowest hash of the id first), characters of the slice taken from each, block bytes.
 SAMPLE_ROWS, SLICE, BLOCK = 400, 320, 2048
+#: Compression level of every block, so that the last one of a text counts like the others.
+LEVEL = 6
 #: Bytes by which the best sum must beat the second best, for each 1,000 bytes of text, or the row is rejected.
 MARGIN = 4.0
 #: Bytes of lead that count as one nat of evidence in the score.
 TEMPERATURE = 3.0
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass(frozen=True)
@@ -63,7 +65,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, slice_chars: int = SLIC
 
 
 @lru_cache(maxsize=4)
-def _compressors(model: Model, level: int) -> list[zstandard.ZstdCompressor]:
+def _compressors(model: Model, level: int = LEVEL) -> list[zstandard.ZstdCompressor]:
     made = []
     for data in model.dictionaries:
         held = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -78,8 +80,7 @@ def sizes(model: Model, text: str, block: int = BLOCK) -> np.ndarray:
     total = np.zeros(len(model.languages), np.int64)
     for start in range(0, len(data), block):
         part = data[start : start + block]
-        level = 3 if len(part) > 400 else 19  # short blocks: look for every match
-        total += [len(c.compress(part)) for c in _compressors(model, level)]
+        total += [len(c.compress(part)) for c in _compressors(model)]
     return total
 
 

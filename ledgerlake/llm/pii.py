@@ -27,13 +27,16 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import thinned, whole_texts
 
-# The base patterns, in the order of kinds.
+# The base patterns, in the order of kinds. Numbers of an address are read whole, from their first digit on: a match ends
+# behind a whole number, so no other match is possible, and a long run of digits is read once. ``_emails`` puts the local part before
+# the pattern of its kind.
 BASE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "email": re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+LOCAL = string.ascii_letters + string.digits + "._%+-"
 KINDS = [*BASE, "secret"]
 DIGIT = re.compile(r"[^0-9]")
 
@@ -51,19 +54,32 @@ def luhn(digits: str) -> bool:
 
 
 def _valid(kind: str, found: str) -> bool:
-    if kind == "email":
-        return True
     if kind == "ip":
         return all(int(p.lstrip("0")[:4] or "0") <= 255 for p in found.split("."))
     digits = DIGIT.sub("", found)
     return 12 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+``; what lies between two ``@`` is read once, not from each character on."""
+    begin, at = 0, text.find("@")  # begin: behind the last match or the last ``@``
+    while at >= 0:
+        start = begin + len(text[begin:at].rstrip(LOCAL))
+        found = BASE["email"].match(text, at) if start < at else None
+        begin = found.end() if found else at + 1
+        if found:
+            yield start, begin
+        at = text.find("@", begin)
+
+
 def base_spans(text: str) -> list[Span]:
     """Matches of each kind, leftmost first and apart within a kind, by start and kind; a failing one is dropped."""
     spans = []
     for order, (kind, pattern) in enumerate(BASE.items()):
-        if kind == "email" and "@" not in text or kind == "phone" and "+" not in text:
+        if kind == "email":
+            spans += [(a, order, b, kind) for a, b in _emails(text)]
+            continue
+        if kind == "phone" and "+" not in text:
             continue
         spans += [(m.start(), order, m.end(), kind) for m in pattern.finditer(text) if _valid(kind, m[0])]
     return [(a, b, kind) for a, _, b, kind in sorted(spans)]

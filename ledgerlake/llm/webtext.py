@@ -10,7 +10,8 @@ in, is the threshold: neighbours of the path that reach it belong to the article
 sections beside a section.
 
 Character references are decoded; white space inside a block is one space; blocks are joined by a line feed. A null
-or empty page, and one without text, give an empty text; pages are read whole and broken markup is no error.
+or empty page, and one without text, give an empty text; pages are read whole and broken markup is no error. Repeated rows
+give equal results, columns beside the three read are left out, an empty table gives no rows. Time grows with the page's length.
 """
 
 from __future__ import annotations
@@ -57,7 +58,9 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<close>/)?(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?:[!?/][^>]*+>?|[A-Za-z/][^>]*+>)|[^<]++|<",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|\b(hidden)\b")
+#: The same behind the last ``>``, where no tag can end.
+TAIL = re.compile(r"<!--.*?(?:-->|\Z)|<[!?/][^>]*+>?|[^<]++|<", re.S)
+ATTRIBUTE = re.compile(r"((?<![^\s=\"'/>])[^\s=\"'/>]++)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|\b(hidden)\b")
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
 
@@ -109,11 +112,12 @@ class Tree:
         self.below[stack[-1]].append(len(self.tag) - 1)
 
     def _build(self, page: str) -> None:
-        stack, at, inside = [0], 0, 0
+        stack, at, last = [0], 0, page.rfind(">")
+        places: dict[str, list[int]] = {}  # where in the stack the open elements of a tag are
         while at < len(page):
-            m = TOKEN.match(page, at)
+            m = (TOKEN if at < last else TAIL).match(page, at)
             at = m.end()
-            tag = m["tag"]
+            tag = m["tag"] if m.re is TOKEN else None
             if tag is None:
                 text = m[0]
                 if text[0] != "<" or text == "<":
@@ -121,15 +125,13 @@ class Tree:
                 continue
             tag = tag.lower()
             if m["close"]:
-                depth = next((d for d in range(len(stack) - 1, 0, -1) if self.tag[stack[d]] == tag), 0)
-                if depth:
-                    del stack[depth:]
+                self._close(stack, places, {tag}, set())
                 continue
             if tag in CLOSES_P:
-                self._close(stack, {"p"}, {"table", "td", "th", "button", "li", "div", "article", "section", "body"})
+                self._close(stack, places, {"p"}, {"table", "td", "th", "button", "li", "div", "article", "section", "body"})
             if tag in SAME_CLOSES:
-                self._close(stack, SAME_CLOSES[tag], HOLDS[tag])
-            inside = any(self.tag[k] in ("article", "main") for k in stack)
+                self._close(stack, places, SAME_CLOSES[tag], HOLDS[tag])
+            inside = bool(places.get("article") or places.get("main"))
             self._open(stack, tag)
             node = len(self.tag) - 1
             never, words, content = _aside(tag, m["rest"], inside)
@@ -140,27 +142,29 @@ class Tree:
             if content:
                 self.content.add(node)
             if tag in RAW:
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at, last + 1)
                 if tag in ("xmp", "noembed", "noframes"):
                     self.below[node].append(page[at : end.start() if end else len(page)])
                 at = end.end() if end else len(page)
             elif tag not in VOID and not m["rest"].endswith("/"):
+                places.setdefault(tag, []).append(len(stack))
                 stack.append(node)
 
-    def _close(self, stack: list[int], tags: set[str], stop: set[str]) -> None:
-        for d in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[d]] in tags:
-                del stack[d:]
-                return
-            if self.tag[stack[d]] in stop:
-                return
+    def _close(self, stack: list[int], places: dict[str, list[int]], tags: set[str], stop: set[str]) -> None:
+        """Closes the innermost open element of the tags, and all inside it, unless one of ``stop`` lies further in."""
+        innermost = lambda names: max((places[t][-1] for t in names if places.get(t)), default=0)
+        depth = innermost(tags)
+        if depth and depth >= innermost(stop):
+            for k in stack[depth:]:
+                places[self.tag[k]].pop()
+            del stack[depth:]
 
     def blocks(self, roots: list[int]) -> list[str]:
         """Texts of the blocks below the roots, in page order."""
         out, line = [], []
 
         def end() -> None:
-            text = SPACES.sub(" ", html.unescape("".join(line))).strip(" ")
+            text = SPACES.sub(" ", "".join(line)).strip(" ")
             if text:
                 out.append(text)
             line.clear()
@@ -172,7 +176,7 @@ class Tree:
                 if x is None:
                     end()
                 elif isinstance(x, str):
-                    line.append(x)
+                    line.append(html.unescape(x) if "&" in x else x)  # a reference ends with its piece of text
                 elif x not in self.cut:
                     block = self.tag[x] in BLOCKS or x == root
                     if block:

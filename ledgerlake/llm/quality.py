@@ -3,7 +3,9 @@
 Each whole text gives a histogram of character classes and one of common words. References per language are the sums
 of these histograms over all rows of that language that pass the base rules. A text is compared with every reference
 by Jensen-Shannon distance (0 to 1) and takes the language whose words are nearest; it is kept if both distances are
-small. Guard: a text below ``MIN_WORDS`` words fails the base rules, as its histograms say too little.
+small. The languages are those of the table: for four of them the common words are fixed, for any other with ``MIN_ROWS`` rows
+they are its most frequent words, counted over all its rows. A row whose own language has no reference is
+judged by the base rules alone. Guard: a text below ``MIN_WORDS`` words fails the base rules, as its histograms say too little.
 
 Null and empty texts have zero words and fail; repeated rows get equal results; an empty table gives no rows. Rows
 without a known language are judged but add nothing to the references. If no reference can be built, the base rules
@@ -12,7 +14,7 @@ decide alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import SPACE, stored
@@ -24,7 +26,8 @@ COMMON = {
     "fr": "de la le et les des en un du une que est pour qui dans par plus pas au sur ne se il avec".split(),
     "es": "de la que el en y a los del se las por un para con no una su al lo como más o es".split(),
 }
-WORDS = sorted({w for words in COMMON.values() for w in words})
+#: Rows a language without fixed words needs to have words and a reference of its own, and how many words it gets.
+MIN_ROWS, TOP_WORDS = 50, 30
 CLASSES = ["other", "upper", "space", "symbol", "mark"]
 
 MIN_WORDS, MAX_REPEAT = 50, 50
@@ -34,8 +37,23 @@ MAX_CLASS, MAX_WORD = 0.20, 0.305
 LOOK_UP = 64
 
 
-def features(docs: DataFrame) -> DataFrame:
+def common_words(docs: DataFrame, min_rows: int = MIN_ROWS, top: int = TOP_WORDS) -> dict[str, list[str]]:
+    """Common words by reference language: ``top`` words a language on the driver. Ties go to the first word in byte order."""
+    words = {k: list(v) for k, v in COMMON.items()}
+    others = docs.where(F.col("lang").isNotNull() & ~F.col("lang").isin(list(COMMON))).groupBy("lang").count()
+    counted = [r["lang"] for r in others.where(F.col("count") >= min_rows).collect()]
+    if counted:
+        each = docs.where(F.col("lang").isin(counted)).select("lang", F.explode(F.split("text", f"{SPACE}+")).alias("w"))
+        counts = each.where(F.col("w").rlike(r"^[\p{Ll}\p{Lo}\p{M}]+$")).groupBy("lang", "w").count()
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "w"))
+        for r in counts.withColumn("place", place).where(F.col("place") <= top).collect():
+            words.setdefault(r["lang"], []).append(r["w"])
+    return words
+
+
+def features(docs: DataFrame, common: dict[str, list[str]] | None = None) -> DataFrame:
     """Base counts, class counts and common-word counts of every row."""
+    listed = sorted({w for words in (COMMON if common is None else common).values() for w in words})
     text = F.col("text_")
     has_word = r"[^\x20\x09-\x0D]"
     count = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("long")
@@ -53,7 +71,7 @@ def features(docs: DataFrame) -> DataFrame:
         count(r"\p{Lu}").alias("upper_"),
         count(r"[.,;:!?'\"()0-9-]").alias("mark_"),
         F.filter(F.split(text, "\n"), lambda line: line.rlike(has_word)).alias("lines_"),
-        F.filter("words_", lambda w: w.isin(WORDS)).alias("common_"),
+        F.filter("words_", lambda w: w.isin(listed)).alias("common_"),
         # 3-word windows as 64-bit hashes
         F.when(
             F.size("words_") >= 3,
@@ -89,12 +107,12 @@ def features(docs: DataFrame) -> DataFrame:
     return rows.withColumn("base_failed", failed)
 
 
-def references(rows: DataFrame) -> tuple[dict[str, list[int]], dict[str, dict[str, int]]]:
-    """Class and word counts per reference language: at most ``len(COMMON) * (len(WORDS) + 1)`` rows on the driver.
+def references(rows: DataFrame, languages: list[str]) -> tuple[dict[str, list[int]], dict[str, dict[str, int]]]:
+    """Class and word counts per reference language: a row for each and for each of the common words on the driver.
 
     The word counts have an entry ``""`` for all other words.
     """
-    good = rows.where(~F.col("base_failed") & F.col("lang_").isin(list(COMMON)))
+    good = rows.where(~F.col("base_failed") & F.col("lang_").isin(languages))
     sums = good.groupBy("lang_").agg(F.sum("n_words").alias("n"), *[F.sum(F.get("classes_", F.lit(k))).alias(c) for k, c in enumerate(CLASSES)]).collect()
     words = good.select("lang_", F.explode("found_").alias("f")).groupBy("lang_", F.col("f.w").alias("w")).agg(F.sum("f.n").alias("n")).collect()
     by_word: dict[str, dict[str, int]] = {r["lang_"]: {"": r["n"]} for r in sums}
@@ -129,14 +147,14 @@ def word_distance(reference: dict[str, int]) -> Column:
     return F.sqrt(F.greatest(seen + unseen / 2 + others, F.lit(0.0)))
 
 
-def judge(rows: DataFrame, max_class: float = MAX_CLASS, max_word: float = MAX_WORD) -> DataFrame:
+def judge(rows: DataFrame, languages: list[str] | None = None, max_class: float = MAX_CLASS, max_word: float = MAX_WORD) -> DataFrame:
     """Base counts, distances to the nearest language and the verdict. ``rows`` should be stored: they are read twice."""
-    classes, words = references(rows)
+    classes, words = references(rows, list(COMMON) if languages is None else languages)
     rows = rows.withColumn("common_n", F.aggregate("found_", F.lit(0).cast("long"), lambda a, f: a + f["n"]))
     if classes:
         each = F.array(*[F.struct(word_distance(words[k]).alias("by_word"), class_distance(classes[k]).alias("by_class"), F.lit(k).alias("nearest")) for k in sorted(classes)])
         rows = rows.withColumn("best_", F.array_min(each)).select("*", "best_.*")
-        near = (F.col("by_class") <= max_class) & (F.col("by_word") <= max_word)
+        near = (F.col("by_class") <= max_class) & (F.col("by_word") <= max_word) | F.col("lang_").isNotNull() & ~F.col("lang_").isin(list(classes))
     else:
         rows = rows.select("*", *[F.lit(None).cast("double").alias(c) for c in ("by_word", "by_class")], F.lit(None).cast("string").alias("nearest"))
         near = F.lit(True)
@@ -147,4 +165,5 @@ def judge(rows: DataFrame, max_class: float = MAX_CLASS, max_word: float = MAX_W
 
 
 def quality(docs: DataFrame) -> DataFrame:
-    return judge(stored(features(docs), "quality"))
+    common = common_words(docs)
+    return judge(stored(features(docs, common), "quality"), sorted(common))

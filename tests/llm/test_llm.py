@@ -220,6 +220,8 @@ def test_repeats_whole_table(spark):
         ("<body><nav><a href=/>menu</a></nav><article><h1>T</h1><p>one two three</p><p>four</p></article><footer>foot</footer></body>", "T\none two three\nfour"),
         ("<main><p>text of the main part</p><p>more</p><div class='comments'><p>first!</p></div><form><p>send</p></form></main>", "text of the main part\nmore"),
         ("<p title='a>b'>kept  as \n one</p><aside>no</aside><p>two</p>", "kept as one\ntwo"),
+        ("<p>fish &am<b>p;</b> chips</p>", "fish &amp; chips"), ("<p>t</p><script>" + "</script " * 50_000, "t"),
+        ("<div>" * 50_000 + "deep", "deep"), ("<p>t</p>" + "<a" * 50_000, "t\n" + "<a" * 50_000),
     ],
 )
 def test_main_text(page, text):
@@ -247,6 +249,27 @@ def test_directory_splits_full_buckets():
     assert slots[0] != slots[1] and slots[8] == slots[15] and sorted(set(slots)) == list(range(len(set(slots))))
 
 
+def test_full_slots_double_on_their_own(spark):
+    once = spark.createDataFrame([(0, 1 << 40, 6), (0, 1 << 41, 6), (0, 1 << 61, 6), (1, 1 << 62, 50), (2, -1, 6)], "slot int, key long, n_bytes long")
+    bits = exact.doublings(once, {0: 18, 1: 50, 2: 6}, capacity=10, deepest=2)
+    # keys 2**40 and 2**41 part at bit 22 from the left; a single key is never split; a slot that fits is left alone
+    assert bits[0] == 64 - 2 - 41 and bits[2] == bits[3] == 0 and 1 <= bits[1] < 10
+
+
+def test_index_decides(spark, monkeypatch):
+    """Rows find their group through the directory: without its buckets none does."""
+    docs = spark.createDataFrame([(k, "same") for k in range(8)], "doc_id long, text string").repartition(4)
+    assert {r["group_size"] for r in exact.exact_groups(docs).collect()} == {8}
+    monkeypatch.setattr(exact, "_by_slot", lambda values: F.lit(None).cast("int"))
+    assert exact.exact_groups(docs).count() == 0
+
+
+def test_owners_shuffle_no_text_again(spark, odd):
+    """The aggregate in a bucket's task needs no exchange of its own."""
+    df = spark.range(10).selectExpr("id % 3 as bucket", "id as key", "cast(id as string) as norm").repartition("bucket").groupBy("bucket", "key", "norm").count()
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_exact_odd_rows(spark, odd, none):
     got = sorted((tuple(r) for r in exact.exact_groups(odd, capacity=8).collect()), key=str)
     norm = {k: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for k, (_, t) in enumerate(ODD)}
@@ -293,6 +316,22 @@ def test_quality_base(spark, odd, none):
     assert quality.quality(none).count() == 0
 
 
+def test_quality_learns_other_languages(spark):
+    """Words of a language without fixed ones are counted; a language with too few rows is judged by the base rules."""
+    rng = random.Random(9)
+    filler = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
+    common = "il di che e la un per in non si con da come questo sono del".split()
+
+    def clean():
+        return " ".join(rng.choice(common if rng.random() < 0.4 else filler) for _ in range(200))
+
+    rows = [(k, clean(), "it") for k in range(80)] + [(100, clean(), "xx"), (101, " ".join(rng.choice(filler).upper() for _ in range(200)), "it"), (102, None, "it"), (103, clean(), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(common) <= set(quality.common_words(docs)["it"]) and set(quality.common_words(docs)) == {*quality.COMMON, "it"}
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality(docs).collect()}
+    assert all(kept[k] for k in range(80)) and kept[100] and kept[103] and not kept[101] and not kept[102]
+
+
 @needs_data
 def test_quality_keeps_clean_rows(spark):
     got = queries.op6_quality(spark, SF_DIR).join(docs_of(spark, "labels"), "doc_id").where("not base_failed")
@@ -343,6 +382,38 @@ def test_packing(spark, odd, none):
     assert packing.pack_documents(none, path).count() == 0
 
 
+def test_encoder_takes_every_text(spark):
+    """Texts that the fast engine refuses, special tokens in the text, and files it does not fit."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    engine, encode = Tokenizer.from_file(path), packing.encoder(path)
+    for text in (" " * 1_000_000, "x" + "\n" * 1_000_000, "a<|endoftext|>b", "", " a  b\t\r\n c²½Ⅷ 한국어 عربى"):
+        assert encode(text).tolist() == engine.encode(text, add_special_tokens=False).ids
+    spec = json.loads(engine.to_str())
+    assert packing.plain(spec)
+    assert not packing.plain(spec | {"normalizer": {"type": "Lowercase"}})
+    assert not packing.plain(spec | {"model": spec["model"] | {"merges": spec["model"]["merges"][::-1]}})
+
+
+@needs_data
+def test_packing_whole_table(spark):
+    """Pieces of every document equal the tokenizer's; as many sequences as slow best fit makes."""
+    from tokenizers import Tokenizer
+
+    engine = Tokenizer.from_file(queries.tokenizer_file("byte_bpe_50k.json"))
+    rows = queries.op7_packing(spark, SF_DIR).toPandas()
+    want = []
+    for r in docs_of(spark).collect():
+        ids = engine.encode(r["text"] or "", add_special_tokens=False).ids + [2]
+        want += [(r["doc_id"], k, a, n, zlib.crc32(np.array(ids[a : a + n], "<u4").tobytes())) for k, (a, n) in enumerate(packing.cuts(len(ids)))]
+    got = rows[["doc_id", "piece", "start", "length", "ids_crc32"]].itertuples(index=False)
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert rows["sequence_id"].nunique() == len(slow_best_fit(rows["length"], 1024))
+
+
 # 8: SentencePiece
 
 
@@ -378,6 +449,11 @@ def test_language_odd_rows(spark, odd, none):
     assert langid.predict(odd, langid.fit(none)).where("lang_pred <> 'und'").count() == 0
 
 
+@pytest.mark.parametrize("text", ["²", "½ ⅓", "Ⅷ ①", "123 _ !", "\u0301", " \n"])
+def test_no_letter_no_language(spark, odd, text):
+    assert langid.classify(langid.fit(odd), text) == ("und", 0.0, False)
+
+
 # 10: personal data
 
 
@@ -392,6 +468,20 @@ def test_base_spans(text, spans):
     assert [(k, a, b) for a, b, k in pii.base_spans(text)] == spans
 
 
+def test_base_spans_against_the_patterns():
+    """The contract's patterns as they stand, and texts on which they would take the square of the length."""
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(10)
+    for _ in range(20_000):
+        text = "".join(rng.choice("aZ0.1@@-_+ 9(é.2%") for _ in range(rng.randint(0, 40)))
+        got = pii.base_spans(text)
+        assert [(a, b) for a, b, k in got if k == "email"] == [m.span() for m in email.finditer(text)]
+        assert [(a, b) for a, b, k in got if k == "ip"] == [m.span() for m in ip.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    assert pii.base_spans("1" * 1_000_000) == pii.base_spans("a" * 1_000_000 + "@") == pii.base_spans("a@" * 300_000) == []
+    assert pii.base_spans("a" * 1_000_000 + "@x.org") == [(0, 1_000_006, "email")]
+
+
 def test_field_adds_and_leaves_alone():
     field = pii.train([])
     found = lambda t: [t[a:b] for a, b, _ in pii.all_spans(t, field)[1]]

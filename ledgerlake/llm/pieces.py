@@ -7,7 +7,9 @@ without a piece fall back to bytes. Whole texts are encoded in batches by the li
 
 No piece has a mark after another letter, so a text may be cut before each run of marks without changing its ids.
 Units met before are looked up; the new ones of a batch go to the library together. (If a model has such pieces, or pieces defined by
-the user, whole texts go to the library.) ``parity`` compares ids and decoded texts with the original library.
+the user, whole texts go to the library.) With ``verify`` each unit that is met for the first time is also encoded by the
+original library, all units of a batch as one text, and a text has parity if none of its units differs; where texts
+are not cut into units, whole texts are compared. ``parity`` compares whole texts, ids and decoded text.
 
 Null and empty texts have no ids and decode to an empty text. Texts are encoded whole; repeated rows get equal ids.
 """
@@ -94,7 +96,7 @@ def merges(pieces: list[tuple[str, float, int]]) -> list[tuple[str, str]]:
 class Codec:
     """Ids of texts and texts of ids for one model file."""
 
-    def __init__(self, path: str, threads: int = THREADS):
+    def __init__(self, path: str, threads: int = THREADS, verify: bool = False):
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         from tokenizers import Tokenizer, models, normalizers
@@ -116,6 +118,35 @@ class Codec:
         self.user = [p for p, _, t in pieces if t == USER]
         if self.user:
             self.engine.add_tokens(self.user)
+        self.original, self.wrong = None, set()
+        if verify:
+            from sentencepiece import SentencePieceProcessor
+
+            self.original = SentencePieceProcessor(model_file=path)
+        # what the engine sees of a unit is then what the original library makes of its plain text
+        self.by_unit = self.units and spec["escape"] and spec["dummy_prefix"] and not spec["charsmap"]
+
+    def verified(self, texts: list[str], made: list[np.ndarray]) -> list[bool]:
+        """Whether the original library gives the texts the same ids; ``made`` are those that ``encode_batch`` gave."""
+        if not self.by_unit:
+            return [m.tolist() == w for m, w in zip(made, self.original.encode(texts, num_threads=1), strict=True)]
+        if not self.wrong:
+            return [True] * len(texts)
+        return [self.wrong.isdisjoint(UNITS.findall(self.normalise(t))) for t in texts]
+
+    def _compare(self, fresh: dict[str, bytes]) -> None:
+        """Remember the units to which the original library gives other ids."""
+        plain = [u for u in fresh if u[-1] != MARK]
+        joined = "".join(plain)[1:].replace(MARK, " ")  # it puts the first mark in front itself
+        if np.array(self.original.encode(joined), "<u4").tobytes() != b"".join(fresh[u] for u in plain):
+            for u in plain:
+                if np.array(self.original.encode(u[1:].replace(MARK, " ")), "<u4").tobytes() != fresh[u]:
+                    self.wrong.add(u)
+        if len(plain) < len(fresh):
+            before = np.array(self.original.encode("a"), "<u4").tobytes()
+            for u in fresh.keys() - set(plain):  # marks alone end a text
+                if np.array(self.original.encode("a" + " " * len(u)), "<u4").tobytes() != before + fresh[u]:
+                    self.wrong.add(u)
 
     def normalise(self, text: str) -> str:
         """The text as the engine sees it: mark for space, one in front of a text that is not empty."""
@@ -137,6 +168,8 @@ class Codec:
             found = self.engine.encode(new, is_pretokenized=True, add_special_tokens=False)
             ids, ends = np.array(found.ids, "<u4"), np.searchsorted(found.word_ids, np.arange(len(new)), "right").tolist()
             fresh = {u: ids[a:b].tobytes() for u, a, b in zip(new, [0, *ends], ends, strict=False)}
+            if self.original and self.by_unit:
+                self._compare(fresh)
             if len(known) < REMEMBERED:  # frequent units come early
                 known.update(fresh)
             else:
@@ -153,8 +186,8 @@ UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
-    return Codec(path)
+def codec(path: str, verify: bool = False) -> Codec:
+    return Codec(path, verify=verify)
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", batch: int = 64) -> DataFrame:
@@ -183,23 +216,26 @@ def decode(rows: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return rows.select(key, "ids").mapInArrow(run, f"{key} long, text string")
 
 
-def digests(docs: DataFrame, path: str, key: str = "doc_id", batch: int = 64) -> DataFrame:
-    """Number and checksum of each row's ids, and whether they decode to the text they came from."""
+def digests(docs: DataFrame, path: str, key: str = "doc_id", batch: int = 64, verify: bool = False) -> DataFrame:
+    """Number and checksum of each row's ids, and whether they decode to the text they came from; with ``verify`` also
+    whether the original library agrees on the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)
+        own = codec(path, verify)
         for rows in batches:
             for at in range(0, rows.num_rows, batch):
                 part = rows.slice(at, batch)
                 texts = part.column(1).to_pylist()
                 made = own.encode_batch(texts)
                 same = [own.decode(ids.tolist()) == text for ids, text in zip(made, texts, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(m) for m in made], pa.int64()), pa.array([zlib.crc32(m.tobytes()) for m in made], pa.int64()), pa.array(same)],
-                    names=[key, "n_ids", "ids_crc32", "round_trip"],
-                )
-
-    return whole_texts(docs, key).mapInArrow(run, f"{key} long, n_ids long, ids_crc32 long, round_trip boolean")
+                columns = [part.column(0), pa.array([len(m) for m in made], pa.int64()), pa.array([zlib.crc32(m.tobytes()) for m in made], pa.int64()), pa.array(same)]
+                names = [key, "n_ids", "ids_crc32", "round_trip"]
+                if verify:
+                    columns, names = [*columns, pa.array(own.verified(texts, made))], [*names, "parity"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    agrees = ", parity boolean" if verify else ""
+    return whole_texts(docs, key).mapInArrow(run, f"{key} long, n_ids long, ids_crc32 long, round_trip boolean{agrees}")
 
 
 def parity(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:

@@ -47,7 +47,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), verify=True)
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

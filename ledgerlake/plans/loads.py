@@ -19,7 +19,7 @@ from ledgerlake.functions.time import instant
 from ledgerlake.operators.lines import invoice_item_id, line_number, opening_balance_id, sale_item_id
 from ledgerlake.operators.quality import not_null, run_checks, singleton, unique
 from ledgerlake.operators.runlog import counted
-from ledgerlake.operators.upsert import latest_by
+from ledgerlake.operators.upsert import latest_by_few
 from ledgerlake.operators.watermark import (
     WATERMARK_KEYS,
     WATERMARK_SCHEMA,
@@ -167,7 +167,7 @@ def load_entity(
 
     if entity.load == "children" and entity.parent_key:
         batch = latest_delivery(batch, entity.parent_key, [c for c in by if c != "position"])
-        batch = latest_by(batch, list(entity.keys), by)
+        batch = latest_by_few(batch, list(entity.keys), by)
         replace_children_table(spark, table, batch.drop(*extra), entity.parent_key, replay)
     else:
         upsert_table(spark, table, batch, entity.keys, by, entity.insert_only, now, replay)
@@ -208,7 +208,7 @@ def write_once(rows: DataFrame, name: str) -> tuple[DataFrame, int, str | None]:
         F.count_if("_taken").alias("taken"),
         F.max(F.when(F.col("_taken"), F.col("_seen"))).cast("string").alias("high"),
     )
-    observed.drop("_seen").write.parquet(path)
+    observed.drop("_seen").write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(rows.drop("_seen").schema).parquet(path)
     high = seen.get["high"]
     return stored, seen.get["taken"], high.replace(" ", "T") if high else None

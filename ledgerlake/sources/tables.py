@@ -17,20 +17,23 @@ import uuid
 import zlib
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions import assert_key
 from ledgerlake.functions.time import instant
-from ledgerlake.operators.upsert import latest_by
+from ledgerlake.operators.upsert import latest_by_few
 
 LAYERS = ("raw", "staging", "curated", "delivery")
 PROPERTY = "ledgerlake"
 #: Of each row: the number of its write; partitions: the write's folder, and the load date.
 NUMBER, BATCH, LOADED = "_change", "change_batch", "load_date"
 BASE = "base"
+#: Load dates up to which a compaction after a shuffle of all rows is not evened out once more.
+FEW_DATES = 4
 
 
 def database(tenant: str, layer: str) -> str:
@@ -99,7 +102,7 @@ def read(spark: SparkSession, table: str) -> DataFrame:
     if "keys" not in found:
         spark.catalog.refreshTable(table)
         return spark.table(table)
-    return _current(spark, found, F.lit(True)).drop(NUMBER, BATCH, LOADED)
+    return _current(spark, found).drop(NUMBER, BATCH, LOADED)
 
 
 def changed_after(spark: SparkSession, table: str, number: int) -> DataFrame:
@@ -137,26 +140,27 @@ def history(spark: SparkSession, found: Mapping[str, str]) -> tuple[DataFrame, b
     return rows, any(not n.endswith(f"-{BASE}") for n in names)
 
 
-def _current(spark: SparkSession, found: Mapping[str, str], wanted: Column) -> DataFrame:
-    """Current rows among the wanted ones.
+def _current(spark: SparkSession, found: Mapping[str, str], wanted: Column | None = None, much: float = 0.25) -> DataFrame:
+    """Current rows, or those among the wanted ones.
 
-    Which write of a key is the last comes from the key columns of the changes alone, so the base is neither shuffled nor
-    read for it; Spark broadcasts that list where its measured size allows it.
+    Rows of the first write (the base, if there is one) are current unless a later write has their key, so which write of a
+    key is the last comes from the key columns of the later writes alone; a table of one write is read as it is. Spark
+    broadcasts that list where its measured size allows it, and then the first write is not shuffled. Where columns keep
+    their first values and the later writes hold more than ``much`` of the first one's bytes, all rows are shuffled once instead.
     """
-    rows, changed = history(spark, found)
-    live = rows.where(wanted)
-    if not changed:
+    rows, _ = history(spark, found)
+    names = committed(spark, found["folder"])
+    live = rows if wanted is None else rows.where(wanted)
+    if len(names) < 2:
         return live
     keys, unique, kept = (found.get(k, "").split(",") if found.get(k) else [] for k in ("keys", "unique", "insert_only"))
-    changes = rows.where(~F.col(BATCH).endswith(f"-{BASE}"))
-    for k, columns in enumerate(c for c in (keys, unique) if c):
-        last = changes.groupBy(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(columns)]).agg(F.max(NUMBER).alias("_last"))
-        same = [F.col(c) == F.col(f"_key{i}") for i, c in enumerate(columns)]
-        joined = live.join(last, same, "left").where(F.coalesce("_last", NUMBER) == F.col(NUMBER))
-        live = joined.drop("_last", *[f"_key{i}" for i in range(len(columns))])
+    later = rows.where(F.col(BATCH) > names[0])
+    if wanted is None and _sorts(spark, found, much):
+        return _by_last(_kept_by_sort(rows, keys, kept), later, [unique])
+    live = _by_last(live, later, [keys, unique])
     if kept:  # these columns keep the first value a key came with
         firsts = [F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)]
-        known = changes.select(*keys).distinct()
+        known = later.select(*keys).distinct()
         first = rows.join(known, keys, "left_semi").groupBy(*firsts).agg(F.min_by(F.struct(*kept), NUMBER).alias("_first"))
         joined = live.join(first, [F.col(c) == F.col(f"_key{i}") for i, c in enumerate(keys)], "left")
         chosen = {c: F.when(F.col("_first").isNotNull(), F.col("_first")[c]).otherwise(F.col(c)) for c in kept}
@@ -164,6 +168,64 @@ def _current(spark: SparkSession, found: Mapping[str, str], wanted: Column) -> D
     return live
 
 
+def _by_last(live: DataFrame, later: DataFrame, groups: Sequence[Sequence[str]]) -> DataFrame:
+    """The rows that no later write replaces by the columns of any group."""
+    for columns in (g for g in groups if g):
+        last = later.groupBy(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(columns)]).agg(F.max(NUMBER).alias("_last"))
+        same = [F.col(c) == F.col(f"_key{i}") for i, c in enumerate(columns)]
+        joined = live.join(last, same, "left").where(F.coalesce("_last", NUMBER) == F.col(NUMBER))
+        live = joined.drop("_last", *[f"_key{i}" for i in range(len(columns))])
+    return live
+
+
+def _kept_by_sort(rows: DataFrame, keys: Sequence[str], kept: Sequence[str]) -> DataFrame:
+    """Each key's rows of its last write, with the first write's values in the ``kept`` columns; a NULL key replaces nothing.
+
+    A key has a row per write, so no group is large. Keys that are UUIDs in plain writing are shuffled as their 16 bytes.
+    """
+    texts = [k for k in keys if isinstance(rows.schema[k].dataType, T.StringType) and k not in kept]
+    packed = rows.withColumns({f"_uuid_{k}": F.when(F.col(k).rlike(_UUID), F.unhex(F.translate(k, "-", ""))) for k in texts})
+    packed = packed.withColumns({k: F.when(F.col(f"_uuid_{k}").isNull(), F.col(k)) for k in texts})
+    group = Window.partitionBy(*[f"_uuid_{k}" for k in texts], *keys).orderBy(NUMBER)
+    group = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    marked = packed.withColumns({"_last": F.max(NUMBER).over(group), "_first": F.first(F.struct(*kept)).over(group)})
+    whole = marked.withColumns({k: F.coalesce(k, _uuid_of(F.col(f"_uuid_{k}"))) for k in texts})
+    nameless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    chosen = {c: F.when(nameless, F.col(c)).otherwise(F.col("_first")[c]) for c in kept}
+    return whole.where(nameless | (F.col("_last") == F.col(NUMBER))).withColumns(chosen).select(*rows.columns)
+
+
+_UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\\z"
+
+
+def _uuid_of(packed: Column) -> Column:
+    """The text of a packed UUID; NULL of NULL."""
+    digits = F.lower(F.hex(packed))
+    return F.when(packed.isNotNull(), F.concat_ws("-", *[digits.substr(at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]))
+
+
+def _sorts(spark: SparkSession, found: Mapping[str, str], much: float = 0.25) -> bool:
+    """Whether columns keep first values and the later writes hold more than ``much`` of the first one's bytes."""
+    names = committed(spark, found["folder"])
+    if not found.get("insert_only") or len(names) < 2:
+        return False
+    return _bytes(spark, found["folder"], names[1:]) > much * _bytes(spark, found["folder"], names[:1])
+
+
+def _load_dates(spark: SparkSession, found: Mapping[str, str]) -> int:
+    """How many load dates the writes have."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{found['folder']}/{BATCH}=*/{LOADED}=*")
+    days = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
+    return len({d.getPath().getName() for d in days})
+
+
+def _bytes(spark: SparkSession, folder: str, names: Sequence[str]) -> int:
+    """Bytes of the files of some writes."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{BATCH}={n}") for n in names]
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in paths)
+
+
 def append(spark: SparkSession, table: str, rows: DataFrame, name: str = "write", replay: tuple[str, int] | None = None) -> bool:
     """Commit rows as one write; returns False if this write is known already.
 
@@ -182,7 +244,7 @@ def append(spark: SparkSession, table: str, rows: DataFrame, name: str = "write"
     stamp = next((c for c in ("loaded_at", "staged_at") if c in have), None)
     day = F.col(stamp).cast("date") if stamp else F.lit(None).cast("date")
     out = rows.select(*columns, F.lit(number).cast("long").alias(NUMBER), day.alias(LOADED))
-    out.write.mode("overwrite").partitionBy(LOADED).parquet(f"{found['folder']}/{BATCH}={number:020d}-{name}")
+    out.write.mode("overwrite").option("compression", "zstd").partitionBy(LOADED).parquet(f"{found['folder']}/{BATCH}={number:020d}-{name}")
     if replay:
         _set(spark, table, **{mark: str(replay[1])})
     return True
@@ -224,9 +286,12 @@ def compact_table(spark: SparkSession, table: str) -> None:
     """Write the current rows as a base into a new folder, few and even files per load date, and point the table to it."""
     found = keyed(spark, table)
     folder = f"{found['folder'].rsplit('-', 1)[0]}-{uuid.uuid4().hex[:12]}"
-    rows = _current(spark, found, F.lit(True)).drop(BATCH)
+    rows = _current(spark, found).drop(BATCH)
     last = last_change(spark, table)
-    rows.hint("rebalance", LOADED).write.partitionBy(LOADED).parquet(f"{folder}/{BATCH}={last:020d}-{BASE}")
+    # Rows that come out of one shuffle of them all are in even parts already: with few load dates their files are, too.
+    if not (_sorts(spark, found) and _load_dates(spark, found) <= FEW_DATES):
+        rows = rows.hint("rebalance", LOADED)
+    rows.write.option("compression", "zstd").partitionBy(LOADED).parquet(f"{folder}/{BATCH}={last:020d}-{BASE}")
     # The property is what readers follow, and it changes last and at once.
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
     _set(spark, table, folder=folder)
@@ -244,9 +309,10 @@ def upsert_table(
 ) -> bool:
     """Insert new keys and overwrite known ones; the last row of a key in the batch counts.
 
-    ``insert_only`` columns keep the first value of a key, now and from then on. A NULL key raises.
+    ``insert_only`` columns keep the first value of a key, now and from then on. A NULL key raises. The batch is read
+    twice; one whose rows can differ between two readings must be stored first.
     """
-    rows = latest_by(batch, list(keys), order)
+    rows = latest_by_few(batch, list(keys), order)
     rows = rows.withColumns({k: assert_key(k, k) for k in keys})
     if loaded_at is not None:
         rows = rows.withColumn("loaded_at", instant(loaded_at))

@@ -189,3 +189,35 @@ def test_view_and_table_modes(spark, tenant):
         tables.materialize(df.drop("x"), name, mode, drop_first=True)
         assert tables.ref(spark, name).columns == ["id"]
         assert tables.ref(spark, name).count() == 3
+
+
+def test_a_table_of_one_write_is_read_as_it_is(spark, tenant):
+    tables.ensure_database(spark, tenant, "raw")
+    name = tables.table_name(tenant, "raw", "lines")
+    tables.ensure_table(spark, name, {"id": "string", "up": "string"}, ["up"], unique=["id"])
+    tables.append(spark, name, spark.createDataFrame([("a", "p"), ("b", "p"), ("c", None)], "id string, up string"))
+    found = tables.read(spark, name)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert sorted(map(tuple, found.collect()), key=str) == [("a", "p"), ("b", "p"), ("c", None)]
+
+
+def test_rows_of_the_first_write_do_not_tell_which_write_is_the_last(spark, table):
+    for day, ids in ((1, range(300)), (2, range(5))):
+        tables.upsert_table(spark, table, batch(spark, [(str(i), day, "x") for i in ids]), ["id"], loaded_at=datetime(2024, 1, day))
+    plan = tables.read(spark, table)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan[plan.index("Aggregate") :].count("change_batch") and "> 00000000000000000001-upsert" in plan
+    assert [r[1] for r in sorted(rows(spark, table), key=lambda r: int(r[0]))] == [2] * 5 + [1] * 295
+
+
+def test_first_values_by_one_shuffle_are_those_by_joins(spark, table):
+    uuids = [f"{i:08x}-0000-4000-8000-{i:012x}" for i in range(20)]
+    ids = [*uuids, *[u.upper() for u in uuids[10:]], "x", "", f"{uuids[1]}\n", uuids[2].replace("-", "")]
+    for day, some in ((1, ids[5:]), (2, ids[::2]), (3, ids[::3])):
+        data = [(k, day, f"c{day}" if n % 4 else None) for n, k in enumerate(some)]
+        tables.upsert_table(spark, table, batch(spark, data), ["id"], insert_only=["created"], loaded_at=datetime(2024, 1, day))
+    found = tables.keyed(spark, table)
+    by = {much: tables._current(spark, found, much=much) for much in (0, 1e9)}
+    assert "Window" in by[0]._jdf.queryExecution().executedPlan().toString()
+    once, joined = (sorted(tuple(r) for r in by[m].select("id", "v", F.coalesce("created", F.lit("-")), "loaded_at", "_change", "load_date").collect()) for m in (0, 1e9))
+    assert once == joined and len(once) == len({*ids[5:], *ids[::2], *ids[::3]})

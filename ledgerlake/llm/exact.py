@@ -138,13 +138,19 @@ def first_of_groups(docs: DataFrame) -> DataFrame:
 
     Rows are found again by id and text, so an id on two different texts does no harm.
     """
-    sha, at = "text_sha256", "place_"
-    while sha in docs.columns or at in docs.columns:
-        sha, at = f"{sha}_", f"{at}_"
-    marked = docs.withColumn(sha, F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256))
-    staying = exact_groups(docs).where("kept").select("doc_id", "text_sha256").distinct()
-    same = F.col("m.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")) & (F.col(f"m.{sha}") == F.col("k.text_sha256"))
-    kept = marked.alias("m").join(staying.alias("k"), same, "left_semi")
+    sha, has, own, at = "text_sha256", "has_id_", "id_", "place_"
+    while {sha, has, own, at} & set(docs.columns):
+        sha, has, own, at = (f"{name}_" for name in (sha, has, own, at))
+    # The rows that stay of a text share its id, so the rows of one id and text are the group to number: what the join has
+    # shuffled by is not shuffled again.
+    number = F.col("doc_id").cast("long")
+    marked = docs.withColumns({
+        sha: F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256), has: number.isNotNull(), own: F.coalesce(number, F.lit(0).cast("long")),
+    })
+    staying = exact_groups(docs).where("kept").select(
+        F.col("text_sha256").alias(sha), F.col("doc_id").isNotNull().alias(has), F.coalesce("doc_id", F.lit(0).cast("long")).alias(own)
+    ).distinct()
+    kept = marked.join(staying, [sha, has, own], "left_semi")
     ordered = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
-    least = Window.partitionBy(sha).orderBy(*ordered)
+    least = Window.partitionBy(sha, has, own).orderBy(*ordered)
     return kept.withColumn(at, F.row_number().over(least)).where(F.col(at) == 1).select(docs.columns)

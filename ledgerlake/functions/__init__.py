@@ -1,5 +1,5 @@
 from ledgerlake.functions.documents import cnpj_is_valid, cpf_is_valid, normalize_cep
-from ledgerlake.functions.keys import assert_key, first_id, uuid5_key, uuid_text
+from ledgerlake.functions.keys import assert_key, fill_uuid5, first_id, uuid5_key, uuid_text
 from ledgerlake.functions.text import (
     any_of,
     blank_to_null,
@@ -23,6 +23,7 @@ __all__ = [
     "cpf_is_valid",
     "drop_falsy_json",
     "enum_name",
+    "fill_uuid5",
     "first_id",
     "flag",
     "iso_second",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import ColumnOrName, as_column
@@ -16,14 +18,34 @@ ZERO_UUID = "00000000-0000-0000-0000-000000000000"
 def uuid_text(c: ColumnOrName, strict: bool = True) -> Column:
     """Lower-cased UUID text. Malformed text raises, or becomes NULL when not strict."""
     low = F.lower(F.trim(as_column(c)))
-    bad = F.raise_error(F.concat(F.lit("not a UUID: "), low)) if strict else F.lit(None)
+    if not strict:
+        return F.when(low.rlike(UUID_PATTERN), low)
+    bad = F.raise_error(F.concat(F.lit("not a UUID: "), low))
     return F.when(low.isNull() | low.rlike(UUID_PATTERN), low).otherwise(bad.cast("string"))
 
 
 def uuid5_key(*parts: ColumnOrName, namespace: str = OID_NAMESPACE) -> Column:
-    """Name-based UUID (version 5) of the parts joined with ``|``."""
+    """Name-based UUID (version 5) of the parts joined with ``|``; never NULL or empty.
+
+    The digest is the one element of an array: five texts that each name it would each hash the parts again wherever
+    the id stands in a branch, where Spark does not share expressions. ``fill_uuid5`` is cheaper for a column of a DataFrame.
+    """
+    return F.element_at(F.transform(F.array(_digest(parts, namespace)), _uuid5_text), 1)
+
+
+def fill_uuid5(df: DataFrame, target: str, *parts: ColumnOrName, namespace: str = OID_NAMESPACE) -> DataFrame:
+    """The column with its NULL and empty ids replaced by ``uuid5_key`` of the parts, hashed once per such row."""
+    own = first_id(target)
+    hashed = df.withColumn("_digest", F.when(own.isNull(), _digest(parts, namespace)))
+    return hashed.withColumn(target, F.coalesce(own, _uuid5_text(F.col("_digest")))).drop("_digest")
+
+
+def _digest(parts: Sequence[ColumnOrName], namespace: str) -> Column:
     name = F.concat_ws("|", *[as_column(p).cast("string") for p in parts])
-    digest = F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(name, "UTF-8")))
+    return F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(name, "UTF-8")))
+
+
+def _uuid5_text(digest: Column) -> Column:
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
     return F.concat_ws(
         "-",

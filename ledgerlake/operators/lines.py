@@ -29,24 +29,31 @@ def explode_lines(
     return out.select(*keep, number.alias("numero_item"), *rest)
 
 
+def sale_item_parts(sale: str, number: str, code: str) -> tuple[Column, ...]:
+    return F.lit("venda_item"), F.col(sale), F.coalesce(F.col(number), F.lit(0)), F.coalesce(F.col(code), F.lit(""))
+
+
 def sale_item_id(own: str, sale: str, number: str, code: str) -> Column:
-    generated = uuid5_key(
-        F.lit("venda_item"), sale, F.coalesce(F.col(number), F.lit(0)), F.coalesce(F.col(code), F.lit(""))
-    )
-    return first_id(own, generated)
+    return F.coalesce(first_id(own), uuid5_key(*sale_item_parts(sale, number, code)))
+
+
+def invoice_item_parts(access_key: str, number: str) -> tuple[Column, ...]:
+    return F.lit("nf_item"), F.col(access_key), F.col(number)
 
 
 def invoice_item_id(own: str, access_key: str, number: str) -> Column:
-    return first_id(own, uuid5_key(F.lit("nf_item"), access_key, number))
+    return F.coalesce(first_id(own), uuid5_key(*invoice_item_parts(access_key, number)))
 
 
-def opening_balance_id(own: str, account: str, reference: str) -> Column:
-    """Own id, else one made of account and reference time; absent parts count as ``null``."""
+def opening_balance_parts(account: str, reference: str) -> tuple[Column, ...]:
+    """Account and reference time; absent parts count as ``null``."""
     when = F.date_format(reference, "yyyy-MM-dd HH:mm:ss")
-    generated = uuid5_key(
-        F.lit("saldo_inicial"), F.coalesce(F.col(account), F.lit("null")), F.coalesce(when, F.lit("null"))
-    )
-    return first_id(own, generated)
+    return F.lit("saldo_inicial"), F.coalesce(F.col(account), F.lit("null")), F.coalesce(when, F.lit("null"))
+
+
+def opening_balance_id(own: str, account: str, reference: str) -> Column:
+    """Own id, else one made of account and reference time."""
+    return F.coalesce(first_id(own), uuid5_key(*opening_balance_parts(account, reference)))
 
 
 def daily_snapshot(accounts: DataFrame, balances: DataFrame, now: datetime) -> DataFrame:

@@ -14,9 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.keys import uuid5_key
+from ledgerlake.functions.keys import fill_uuid5, uuid5_key
 from ledgerlake.functions.time import instant
-from ledgerlake.operators.lines import invoice_item_id, line_number, opening_balance_id, sale_item_id
+from ledgerlake.operators.lines import invoice_item_parts, line_number, opening_balance_parts, sale_item_parts
 from ledgerlake.operators.quality import not_null, run_checks, singleton, unique
 from ledgerlake.operators.runlog import counted
 from ledgerlake.operators.upsert import latest_by_few
@@ -78,11 +78,11 @@ def with_generated_ids(items: DataFrame, entity: Entity, now: datetime) -> DataF
     """Ids for records that come without one, the same on every run."""
     kind = entity.options.get("generated_id")
     if kind == "sale_item":
-        return items.withColumn("id", sale_item_id("id", "venda_id", "numero_item", "codigo"))
+        return fill_uuid5(items, "id", *sale_item_parts("venda_id", "numero_item", "codigo"))
     if kind == "invoice_item":
-        return items.withColumn("id", invoice_item_id("id", "chave_acesso", "numero_item"))
+        return fill_uuid5(items, "id", *invoice_item_parts("chave_acesso", "numero_item"))
     if kind == "opening_balance":
-        return items.withColumn("id", opening_balance_id("id", "conta_financeira_id", "data_referencia"))
+        return fill_uuid5(items, "id", *opening_balance_parts("conta_financeira_id", "data_referencia"))
     if entity.load == "snapshot":  # one row per account and day; a second run on the day overwrites the first
         day = F.coalesce(F.col("snapshot_date"), F.lit(now.date()))
         made = uuid5_key(F.lit(entity.name), "conta_financeira_id", day.cast("string"))
@@ -141,7 +141,9 @@ def load_entity(
     if mode == "fail":
         rows = split_valid(rows, mode)[0].withColumn("_problem", F.lit(None).cast("string"))
     if entity.options.get("numbers"):  # without a place on the page only a number of its own counts
-        given = [F.get_json_object("raw", f"$.{n}").alias(n) for n in entity.options["numbers"]]
+        # A name that the text does not hold, plainly or with an escape, is not looked for by parsing the item again.
+        may = {n: F.col("raw").contains(n) | F.col("raw").contains("\\") for n in entity.options["numbers"]}
+        given = [F.when(held, F.get_json_object("raw", f"$.{n}")) for n, held in may.items()]
         position = F.col("position") if "position" in keep else F.lit(None).cast("int")
         rows = rows.withColumns({f"_n{i}": c for i, c in enumerate(given)})
         rows = rows.withColumn(
@@ -181,13 +183,22 @@ def load_entity(
 
 
 def latest_delivery(children: DataFrame, parent: str, order: list[str]) -> DataFrame:
-    """Of a parent whose list came more than once, the children of the last delivery."""
+    """Of a parent whose list came more than once, the children of the last delivery; they are stored, to be read more than once.
+
+    The parent's hash leads the join, so that sorting seldom compares texts. Children without a parent all stay.
+    """
     if not order:
         return children
-    last = children.groupBy(F.col(parent).alias("_parent")).agg(F.max(F.struct(*order)).alias("_last"))
-    return children.join(
-        last, F.col(parent).eqNullSafe(F.col("_parent")) & F.struct(*order).eqNullSafe(F.col("_last")), "left_semi"
-    )
+    spark = children.sparkSession
+    delivery = F.col(order[0]) if len(order) == 1 else F.struct(*order)  # a bare number is aggregated without a sort
+    keyed = children.withColumn("_hash", F.xxhash64(parent))
+    named = keyed.groupBy(F.col("_hash").alias("_of"), F.col(parent).alias("_parent"))
+    last = named.agg(F.max(delivery).alias("_last")).where(F.col("_parent").isNotNull())
+    same = (F.col("_hash") == F.col("_of")) & (F.col(parent) == F.col("_parent"))
+    late = keyed.join(last, same, "left").where(F.col(parent).isNull() | delivery.eqNullSafe(F.col("_last")))
+    path = shared_dir(spark, "delivered")
+    late.select(*children.columns).write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(children.schema).parquet(path)
 
 
 def table_columns(entity: Entity) -> dict[str, str]:

@@ -76,3 +76,9 @@ def test_company_numbers(spark):
 
 def test_postal_codes(spark):
     assert column(spark, ["01310-100", "0131010", " ", None], L.normalize_cep("x")) == ["01310100", None, None, None]
+
+
+def test_ids_of_a_column_are_filled_where_empty(spark):
+    df = spark.createDataFrame([("own", "a"), ("", "é"), (None, None)], "id string, x string")
+    got = [r["id"] for r in L.fill_uuid5(df, "id", F.lit("kind"), "x").collect()]
+    assert got == ["own", str(uuid.uuid5(uuid.NAMESPACE_OID, "kind|é")), str(uuid.uuid5(uuid.NAMESPACE_OID, "kind"))]

@@ -251,3 +251,32 @@ def test_first_list_that_is_not_empty_counts(spark):
     pages = spark.createDataFrame([(b,) for b in bodies], "body string")
     found = unwrap_pages(pages, filled=ENTITIES["notas_fiscais_itens"].options["item_keys"])  # the rule of one endpoint
     assert sorted(r["item"] for r in found.collect()) == ['{"id":1}', '{"id":2}']
+
+
+def test_ids_are_hashed_once_and_items_parsed_once(spark, tenant, monkeypatch):
+    plans = []
+    stored = loads.write_once
+    monkeypatch.setattr(loads, "write_once", lambda rows, name: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or stored(rows, name))
+    sale = uid(7, 3)
+    loads.load_entity(spark, tenant, "vendas_itens", items(spark, [{"codigo": "a"}], venda_id=sale), NOW)
+    assert plans[0].count("sha1(") == 1
+    assert plans[0].count("from_json(") == 1
+    assert source(spark, tenant, "vendas_itens").first()["id"] == str(uuid.uuid5(uuid.NAMESPACE_OID, f"venda_item|{sale}|1|a"))
+
+
+def test_line_numbers_with_escaped_names_are_found(spark, tenant):
+    texts = ['{"codigo": "a", "numero_item": 4}', '{"codigo": "a", "numero\\u005fitem": "6"}', '{"codigo": "a"}']
+    rows = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "item string, position int").withColumn("venda_id", F.lit(uid(7, 4)))
+    loads.load_entity(spark, tenant, "vendas_itens", rows, NOW)
+    ids = {r["id"] for r in source(spark, tenant, "vendas_itens").collect()}
+    assert ids == {str(uuid.uuid5(uuid.NAMESPACE_OID, f"venda_item|{uid(7, 4)}|{n}|a")) for n in (4, 6, 3)}
+
+
+def test_last_deliveries_are_chosen_once_and_stored(spark):
+    rows = [("p", 1, "x", "a"), ("p", 2, "a", "b"), ("p", 2, "z", "c"), ("q", None, None, "d"), ("q", 1, None, "e"), ("r", None, None, "f"), (None, 1, "x", "g")]
+    df = spark.createDataFrame(rows, "parent string, page int, source_file string, child string")
+    for order, kept in ((["page"], "bcefg"), (["page", "source_file"], "cefg"), ([], "abcdefg")):
+        late = loads.latest_delivery(df, "parent", order)
+        assert sorted(r["child"] for r in late.collect()) == list(kept) and late.columns == df.columns
+    plan = loads.latest_delivery(df, "parent", ["page"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan

@@ -20,7 +20,7 @@ def _given(f: Field, parsed: str) -> Column:
 
 def _typed(f: Field, value: Column) -> Column:
     if f.kind == "uuid":
-        return uuid_text(blank_to_null(value), strict=False)
+        return uuid_text(value, strict=False)  # blank text is no UUID
     if f.kind in ("clean", "enum"):
         return blank_to_null(enum_name(value) if f.kind == "enum" else value)
     if f.kind == "ts":
@@ -49,21 +49,24 @@ def parse_entity(
     # A generator keeps later filters above the parse; pushed below it they would parse once per field.
     parsed = df.select("*", F.explode(F.array(record)).alias("_p"))
     problems: list[Column] = [F.when(F.col("_p._broken").isNotNull(), F.lit("not readable as declared"))]
-    columns: dict[str, Column] = {}
+    typed: dict[str, Column] = {}
+    parents = {f.name: f"_parent_{f.name}" for f in entity.fields if f.name in df.columns}
+    parsed = parsed.withColumnsRenamed(parents)
     for f in entity.fields:
         value = _given(f, "_p")
-        if f.name in df.columns:
-            parent = F.col(f.name).cast(KINDS[f.kind][0])
+        if f.name in parents:
+            parent = F.col(parents[f.name]).cast(KINDS[f.kind][0])
             wins = f.name in entity.options.get("parent_wins", ())
             value = F.coalesce(parent, value) if wins else F.coalesce(value, parent)
-        typed = _typed(f, value)
-        columns[f.name] = typed
+        typed[f.name] = _typed(f, value)
+        empty = F.col(f.name).isNull()
         if f.kind in ("uuid", "ts", "date"):
-            lost = blank_to_null(value).isNotNull() & typed.isNull()
+            lost = empty & blank_to_null(value).isNotNull()
             problems.append(F.when(lost, F.lit(f"malformed {f.name}")))
         if f.required:
-            empty = typed.isNull() | (F.length(value) == 0) if f.kind == "text" else typed.isNull()
+            empty = empty | (F.length(f.name) == 0) if f.kind == "text" else empty
             problems.append(F.when(empty, F.lit(f"missing {f.name}")))
+    columns: dict[str, Column] = {name: F.col(name) for name in typed}
     for name in entity.options.get("zero_is_null", ()):
         zero = 0 if next(f.kind for f in entity.fields if f.name == name) == "long" else ZERO_UUID
         columns[name] = zero_to_null(columns[name], zero)
@@ -75,7 +78,9 @@ def parse_entity(
         columns["raw"] = F.col(item)
     columns["loaded_at"] = instant(loaded_at)
     kept = [k for k in keep if k not in columns]
-    return parsed.select(
+    # Values first, problems from the values: one expression of both would check every id and time twice.
+    values = parsed.select(*dict.fromkeys([*kept, item, "_p", *parents.values()]), *[c.alias(name) for name, c in typed.items()])
+    return values.select(
         *kept,
         *[c.alias(name) for name, c in columns.items()],
         F.coalesce(*problems).alias("_problem"),

@@ -12,6 +12,7 @@ from ledgerlake.plans import loads
 from ledgerlake.plans.registry import MODELS
 from ledgerlake.sources.entities import ENTITIES
 from ledgerlake.sources.pages import read_pages, unwrap_pages
+from ledgerlake.sources.parse import parse_entity
 from ledgerlake.sources.tables import read, ref, source, table_name
 
 NOW = datetime(2024, 6, 1, 12, 0, 0)
@@ -280,3 +281,13 @@ def test_last_deliveries_are_chosen_once_and_stored(spark):
         assert sorted(r["child"] for r in late.collect()) == list(kept) and late.columns == df.columns
     plan = loads.latest_delivery(df, "parent", ["page"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_ids_are_checked_once(spark):
+    entity = ENTITIES["vendas_itens"]
+    given = items(spark, [{"id": uid(1, 1)}, {"id": " "}, {"id": "x"}, {"id": f" {uid(1, 2).upper()} "}], venda_id=uid(7, 5))
+    rows = parse_entity(given, entity, NOW, keep=("position", "venda_id"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[0-9a-f]{12}") == sum(f.kind == "uuid" for f in entity.fields)
+    found = [(r["id"], r["venda_id"], r["_problem"]) for r in rows.orderBy("position").collect()]
+    assert found == [(uid(1, 1), uid(7, 5), None), (None, uid(7, 5), None), (None, uid(7, 5), "malformed id"), (uid(1, 2), uid(7, 5), None)]

@@ -21,7 +21,7 @@ from ledgerlake.operators.windows import date_chunks
 from ledgerlake.plans import loads
 from ledgerlake.sources.entities import ENTITIES, Entity
 from ledgerlake.sources.pages import unwrap_pages
-from ledgerlake.sources.tables import append, ensure_database, ensure_table, read, source, table_name, upsert_table
+from ledgerlake.sources.tables import FEW_ROWS, all_rows, append, ensure_database, ensure_table, read, source, table_name, upsert_table
 from ledgerlake.streaming.ingest import run_available, stream_name
 
 #: Loads that skip an unusable record and go on; all others stop at the first one.
@@ -38,28 +38,43 @@ def raw_tables(spark: SparkSession, tenant: str, names: Iterable[str]) -> list[D
     return [source(spark, tenant, n) for n in names if spark.catalog.tableExists(table_name(tenant, "raw", n))]
 
 
+def due_since(spark: SparkSession, tenant: str, entity: Entity) -> str | None:
+    """The entity's mark, if it keeps one and has been loaded."""
+    if not entity.watermarked:
+        return None
+    state = loads.ensure_state(spark, tenant)
+    return (get_watermark(read(spark, state), tenant, loads.SOURCE, entity.name) or {}).get("value")
+
+
+def parent_changes(table: DataFrame, entity: Entity, since: str | None) -> DataFrame:
+    """``parent_id, parent_changed_at`` and the columns that the child takes over, of a table's rows that changed after the mark."""
+    key, taken = entity.options.get("parent_id", "id"), entity.options.get("parent_columns", {})
+    time = next((c for c in ("data_alteracao", "data_emissao") if c in table.columns), None)
+    seen = F.col(time) if time else F.lit(None).cast("timestamp")
+    slim = table.select(F.col(key).alias("parent_id"), seen.alias("parent_changed_at"), *[F.col(c).alias(n) for n, c in taken.items()])
+    if since is not None:
+        slim = changed_keys(slim.select(F.struct("*").alias("p"), F.col("parent_changed_at")), "p", "parent_changed_at", since).select("p.*")
+    return slim
+
+
+def many_due(spark: SparkSession, tenant: str, entity: Entity) -> bool:
+    """Whether more parents may be due than a broadcast should hold: a count over the change times of all their writes, without a join."""
+    since = due_since(spark, tenant, entity)
+    held = [table_name(tenant, "raw", n) for n in entity.parents if spark.catalog.tableExists(table_name(tenant, "raw", n))]
+    return sum(parent_changes(all_rows(spark, t), entity, since).count() for t in held) > FEW_ROWS
+
+
 def due_parents(spark: SparkSession, tenant: str, entity: Entity) -> DataFrame:
     """``parent_id, parent_changed_at`` and the columns that the child takes over: parents changed after the entity's mark.
 
     Entities without a mark of their own take all parents. A parent in several tables, or more than once, is one row with its last change.
     """
-    key, taken = entity.options.get("parent_id", "id"), entity.options.get("parent_columns", {})
-    since = None
-    if entity.watermarked:
-        state = loads.ensure_state(spark, tenant)
-        since = (get_watermark(read(spark, state), tenant, loads.SOURCE, entity.name) or {}).get("value")
-    parts = []
-    for table in raw_tables(spark, tenant, entity.parents):
-        time = next((c for c in ("data_alteracao", "data_emissao") if c in table.columns), None)
-        seen = F.col(time) if time else F.lit(None).cast("timestamp")
-        slim = table.select(F.col(key).alias("parent_id"), seen.alias("parent_changed_at"), *[F.col(c).alias(n) for n, c in taken.items()])
-        parts.append(slim.where("parent_id is not null"))
+    taken, since = entity.options.get("parent_columns", {}), due_since(spark, tenant, entity)
+    parts = [parent_changes(t, entity, since).where("parent_id is not null") for t in raw_tables(spark, tenant, entity.parents)]
     if not parts:
         empty = "parent_id string, parent_changed_at timestamp" + "".join(f", {n} string" for n in taken)
         return spark.createDataFrame([], empty)
     rows = reduce(DataFrame.unionByName, parts)
-    if since is not None:
-        rows = changed_keys(rows.select(F.struct("*").alias("p"), F.col("parent_changed_at")), "p", "parent_changed_at", since).select("p.*")
     last = F.max(F.struct("parent_changed_at", *taken)).alias("last")
     return rows.groupBy("parent_id").agg(last).select("parent_id", "last.*")
 
@@ -68,10 +83,12 @@ def load_details(spark: SparkSession, tenant: str, name: str, landed: DataFrame,
     """Load the landed details (``item, parent_id``, arrival order) whose parent changed since the entity's mark.
 
     The mark moves to the child's change time, or to its parent's where the child has none. A record without the
-    parent's key, or without an id where the detail is the parent's own, gets it from ``parent_id``.
+    parent's key, or without an id where the detail is the parent's own, gets it from ``parent_id``. Few parents are broadcast;
+    more are sorted with the details, because Spark would take the compressed bytes of either side for its size.
     """
     entity = ENTITIES[name]
     due = due_parents(spark, tenant, entity)
+    due = due.hint("merge") if many_due(spark, tenant, entity) else F.broadcast(due)
     named = entity.parent_key or "id"
     items = landed.join(due, "parent_id").withColumn(named, F.col("parent_id")).drop("parent_id")
     return loads.load_entity(spark, tenant, name, items, now, **{"mode": mode_of(entity), **options})

@@ -34,6 +34,8 @@ NUMBER, BATCH, LOADED = "_change", "change_batch", "load_date"
 BASE = "base"
 #: Load dates up to which a compaction after a shuffle of all rows is not evened out once more.
 FEW_DATES = 4
+#: Rows of a join's side up to which it may be broadcast.
+FEW_ROWS = 400_000
 
 
 def database(tenant: str, layer: str) -> str:
@@ -105,6 +107,12 @@ def read(spark: SparkSession, table: str) -> DataFrame:
     return _current(spark, found).drop(NUMBER, BATCH, LOADED)
 
 
+def all_rows(spark: SparkSession, table: str) -> DataFrame:
+    """Rows of all writes, replaced ones as well: at least the current rows, without a join."""
+    found = _properties(spark, table)
+    return history(spark, found)[0] if "keys" in found else read(spark, table)
+
+
 def changed_after(spark: SparkSession, table: str, number: int) -> DataFrame:
     """Current rows of writes after ``number``; folders of earlier writes are pruned before anything is read."""
     later = (F.col(BATCH) > F.lit(f"{number:020d}~")) & (F.col(NUMBER) > number)
@@ -145,7 +153,7 @@ def _current(spark: SparkSession, found: Mapping[str, str], wanted: Column | Non
 
     Rows of the first write (the base, if there is one) are current unless a later write has their key, so which write of a
     key is the last comes from the key columns of the later writes alone; a table of one write is read as it is. Spark
-    broadcasts that list where its measured size allows it, and then the first write is not shuffled. Where columns keep
+    may broadcast that list if it has few rows, and then the first write is not shuffled. Where columns keep
     their first values and the later writes hold more than ``much`` of the first one's bytes, all rows are shuffled once instead.
     """
     rows, _ = history(spark, found)
@@ -155,25 +163,36 @@ def _current(spark: SparkSession, found: Mapping[str, str], wanted: Column | Non
         return live
     keys, unique, kept = (found.get(k, "").split(",") if found.get(k) else [] for k in ("keys", "unique", "insert_only"))
     later = rows.where(F.col(BATCH) > names[0])
-    if wanted is None and _sorts(spark, found, much):
-        return _by_last(_kept_by_sort(rows, keys, kept), later, [unique])
-    live = _by_last(live, later, [keys, unique])
+    sorts = wanted is None and _sorts(spark, found, much)
+    many = (not sorts or any(unique)) and later.count() > FEW_ROWS  # from the files' footers
+    if sorts:
+        return _by_last(_kept_by_sort(rows, keys, kept), later, [unique], many)
+    live = _by_last(live, later, [keys, unique], many)
     if kept:  # these columns keep the first value a key came with
         firsts = [F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)]
-        known = later.select(*keys).distinct()
+        known = _sorted_if(many, later.select(*keys).distinct())
         first = rows.join(known, keys, "left_semi").groupBy(*firsts).agg(F.min_by(F.struct(*kept), NUMBER).alias("_first"))
-        joined = live.join(first, [F.col(c) == F.col(f"_key{i}") for i, c in enumerate(keys)], "left")
+        joined = live.join(_sorted_if(many, first), [F.col(c) == F.col(f"_key{i}") for i, c in enumerate(keys)], "left")
         chosen = {c: F.when(F.col("_first").isNotNull(), F.col("_first")[c]).otherwise(F.col(c)) for c in kept}
         live = joined.withColumns(chosen).select(*rows.columns)
     return live
 
 
-def _by_last(live: DataFrame, later: DataFrame, groups: Sequence[Sequence[str]]) -> DataFrame:
+def _sorted_if(many: bool, side: DataFrame) -> DataFrame:
+    """A join's right side; of many rows it is sorted, not broadcast, whatever Spark takes its size for.
+
+    Spark plans by the compressed bytes of files, which may be a hundredth of the rows' bytes in memory, and keeps to a broadcast
+    when it has measured more.
+    """
+    return side.hint("merge") if many else side
+
+
+def _by_last(live: DataFrame, later: DataFrame, groups: Sequence[Sequence[str]], many: bool) -> DataFrame:
     """The rows that no later write replaces by the columns of any group."""
     for columns in (g for g in groups if g):
         last = later.groupBy(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(columns)]).agg(F.max(NUMBER).alias("_last"))
         same = [F.col(c) == F.col(f"_key{i}") for i, c in enumerate(columns)]
-        joined = live.join(last, same, "left").where(F.coalesce("_last", NUMBER) == F.col(NUMBER))
+        joined = live.join(_sorted_if(many, last), same, "left").where(F.coalesce("_last", NUMBER) == F.col(NUMBER))
         live = joined.drop("_last", *[f"_key{i}" for i in range(len(columns))])
     return live
 
@@ -200,8 +219,10 @@ _UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\\z"
 
 def _uuid_of(packed: Column) -> Column:
     """The text of a packed UUID; NULL of NULL."""
-    digits = F.lower(F.hex(packed))
-    return F.when(packed.isNotNull(), F.concat_ws("-", *[digits.substr(at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]))
+    text = F.lower(F.hex(packed))  # named once: where Spark pushes a filter on keys below a shuffle, it unpacks in every place
+    for at in (21, 17, 13, 9):
+        text = F.overlay(text, F.lit("-"), at, 0)
+    return text
 
 
 def _sorts(spark: SparkSession, found: Mapping[str, str], much: float = 0.25) -> bool:

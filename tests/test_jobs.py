@@ -46,6 +46,22 @@ def test_details_follow_the_parents_that_changed(spark, tenant):
     assert jobs.load_details(spark, tenant, "vendas_detalhe", details(9), NOW)[0] == 0
 
 
+def test_many_changed_parents_are_sorted_not_broadcast(spark, tenant, monkeypatch):
+    monkeypatch.setattr(jobs, "FEW_ROWS", 2, raising=False)
+    plans, load = [], loads.load_entity
+    monkeypatch.setattr(jobs.loads, "load_entity", lambda s, t, name, items, *a, **o: plans.append(items._jdf.queryExecution().executedPlan().toString()) or load(s, t, name, items, *a, **o))
+    part = lambda n, day: {"id": uid(3, n), "data_alteracao": f"2024-05-{day:02d}T00:00:00"}
+    details = lambda *ns: landed(spark, [(uid(3, n), {"id": uid(7, n), "valor": n + len(plans)}) for n in ns])
+    items = lambda *rows: spark.createDataFrame([(json.dumps(r),) for r in rows], "item string")
+    load(spark, tenant, "parcelas_detalhe", items(*[part(n, n) for n in (1, 2, 3)]), NOW)
+    assert jobs.load_details(spark, tenant, "baixas", details(1, 2, 3, 4), NOW)[0] == 3
+    load(spark, tenant, "parcelas_detalhe", items(part(1, 9), part(2, 1)), NOW)  # five rows in two writes, one after the mark
+    assert jobs.load_details(spark, tenant, "baixas", details(1, 2, 3, 4), NOW)[0] == 1
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
+    assert "BroadcastHashJoin" in plans[1].split("Scan")[0]  # the details' join with few parents
+    assert [(r[0], int(r[1])) for r in ids(spark, tenant, "baixas", "valor")] == [(uid(7, 1), 2), (uid(7, 2), 2), (uid(7, 3), 3)]
+
+
 def test_instalments_have_two_kinds_of_parents(spark, tenant):
     title = lambda n, day: {"id": uid(2, n), "data_alteracao": f"2024-05-{day:02d}T00:00:00"}
     parents(spark, tenant, "contas_a_receber", [title(1, 3)])

@@ -221,3 +221,35 @@ def test_first_values_by_one_shuffle_are_those_by_joins(spark, table):
     assert "Window" in by[0]._jdf.queryExecution().executedPlan().toString()
     once, joined = (sorted(tuple(r) for r in by[m].select("id", "v", F.coalesce("created", F.lit("-")), "loaded_at", "_change", "load_date").collect()) for m in (0, 1e9))
     assert once == joined and len(once) == len({*ids[5:], *ids[::2], *ids[::3]})
+
+
+@pytest.mark.parametrize("insert_only", [(), ("created",)])
+def test_keys_of_many_later_rows_are_sorted_not_broadcast(spark, table, monkeypatch, insert_only):
+    monkeypatch.setattr(tables, "FEW_ROWS", 4, raising=False)
+    for day, n in ((1, 300), (2, 3), (3, 2)):
+        tables.upsert_table(spark, table, batch(spark, [(str(i), day, f"c{day}") for i in range(n)]), ["id"], insert_only=insert_only, loaded_at=datetime(2024, 1, day))
+    found = tables._current(spark, tables.keyed(spark, table), much=1e9)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    monkeypatch.setattr(tables, "FEW_ROWS", 5)
+    few = tables._current(spark, tables.keyed(spark, table), much=1e9)
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    for df in (found, few):
+        got = sorted((int(r["id"]), r["v"], r["created"]) for r in df.collect())
+        days = [3, 3, 2, *[1] * 297]
+        assert got == [(i, v, "c1" if insert_only else f"c{v}") for i, v in enumerate(days)]
+
+
+def test_all_rows_are_those_of_every_write(spark, table):
+    for day in (1, 2):
+        tables.upsert_table(spark, table, batch(spark, [("a", day, "x")]), ["id"], loaded_at=datetime(2024, 1, day))
+    assert tables.all_rows(spark, table).count() == 2 and tables.read(spark, table).count() == 1
+
+
+def test_packed_ids_are_unpacked_in_one_go(spark):
+    ids = ["0123abcd-4567-89ab-cdef-0123456789ab", None]
+    df = spark.createDataFrame([(i,) for i in ids], "id string")
+    text = tables._uuid_of(F.unhex(F.translate("id", "-", "")))
+    assert [r[0] for r in df.select(text).collect()] == ids
+    plan = df.select(text.alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("unhex(") == 1

@@ -73,6 +73,20 @@ def test_instalments_have_two_kinds_of_parents(spark, tenant):
     assert ids(spark, tenant, "parcelas_detalhe", "evento_financeiro_id") == [(uid(3, 1), uid(2, 1)), (uid(3, 2), uid(2, 2))]
 
 
+def test_parents_in_two_tables_are_counted_together(spark, tenant, monkeypatch):
+    title = lambda n, day: {"id": uid(2, n), "data_alteracao": f"2024-05-{day:02d}T00:00:00"}
+    entity = loads.ENTITIES["parcelas_detalhe"]
+    monkeypatch.setattr(jobs, "FEW_ROWS", 2)
+    assert not jobs.many_due(spark, tenant, entity)  # no table yet
+    parents(spark, tenant, "contas_a_receber", [title(1, 3), title(2, 3)])
+    assert not jobs.many_due(spark, tenant, entity)  # payables do not exist yet
+    parents(spark, tenant, "contas_a_pagar", [title(3, 4)])
+    assert jobs.many_due(spark, tenant, entity)
+    jobs.load_details(spark, tenant, "parcelas_detalhe", landed(spark, [(uid(2, n), {"id": uid(3, n)}) for n in (1, 2, 3)]), NOW)
+    assert len(ids(spark, tenant, "parcelas_detalhe")) == 3
+    assert not jobs.many_due(spark, tenant, entity)  # none changed after the mark
+
+
 def test_invoice_items_need_an_access_key(spark, tenant):
     parents(spark, tenant, "notas_fiscais", [{"id": uid(6, 1), "chave_acesso": "k1", "data_emissao": "2024-05-01T00:00:00"}, {"id": uid(6, 2)}])
     jobs.load_details(spark, tenant, "notas_fiscais_itens", landed(spark, [("k1", {"codigo": "a"}), ("k2", {"codigo": "b"})]), NOW)

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.watermark import get_watermark
 from ledgerlake.plans import jobs, loads
 from ledgerlake.plans.registry import MODELS
+from ledgerlake.sources import tables
 from ledgerlake.sources.tables import committed, keyed, read, source, table_name
 
 NOW = datetime(2024, 6, 1, 12)
+LOAD = loads.load_entity
 
 
 def uid(kind, n):
@@ -46,6 +48,25 @@ def test_details_follow_the_parents_that_changed(spark, tenant):
     assert jobs.load_details(spark, tenant, "vendas_detalhe", details(9), NOW)[0] == 0
 
 
+def test_details_are_the_same_whichever_join_takes_them(spark, tenant, monkeypatch):
+    sale = lambda n, day: {"id": uid(1, n), "data_alteracao": f"2024-05-{day:02d}T00:00:00"}
+    details = lambda v: landed(spark, [(uid(1, n), {"numero": n, "valor_bruto": v}) for n in range(1, 30)])
+    found = []
+    for few in (0, 1000):
+        for module in (jobs, tables):
+            monkeypatch.setattr(module, "FEW_ROWS", few, raising=False)
+        own, plans = f"{tenant}_{few}", []
+        monkeypatch.setattr(jobs.loads, "load_entity", lambda s, t, name, items, *a, **o: plans.append(items._jdf.queryExecution().executedPlan().toString()) or LOAD(s, t, name, items, *a, **o))
+        parents(spark, own, "vendas", [sale(n, 1 + n % 5) for n in range(1, 21)])
+        jobs.load_details(spark, own, "vendas_detalhe", details(5), NOW)
+        parents(spark, own, "vendas", [sale(n, 9) for n in range(2, 21, 10)])
+        jobs.load_details(spark, own, "vendas_detalhe", details(7), NOW)
+        assert [("BroadcastHashJoin" in p) for p in plans if "Join" in p] == [few > 0] * 2
+        found.append(ids(spark, own, "vendas_detalhe", "numero", "valor_bruto"))
+    assert found[0] == found[1]
+    assert [(r[1], int(r[2])) for r in found[0]] == [(n, 7 if n % 10 == 2 else 5) for n in range(1, 21)]
+
+
 def test_many_changed_parents_are_sorted_not_broadcast(spark, tenant, monkeypatch):
     monkeypatch.setattr(jobs, "FEW_ROWS", 2, raising=False)
     plans, load = [], loads.load_entity
